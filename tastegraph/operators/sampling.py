@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tastegraph.functions.columns import key_digest, seeded_uniform
 from tastegraph.functions.ordering import first_k, position_in_group
 from tastegraph.functions.unseen import pick_unseen, unseen_ranges
+from tastegraph.session import written
 from tastegraph.operators.shaping import add_example_id, dense_index, join_partition_label
 
 
@@ -51,11 +52,11 @@ def negative_sample(
     """For each positive row one uniform item the user never bought; context kept.
 
     ``keys`` name a positive row. Draws are independent, so an item may repeat. A user
-    who bought every item gives no row.
+    who bought every item gives no row. ``positives`` is read twice.
     """
-    index = dense_index(items, item, "_item_idx")
-    history = positives.select(user, item).distinct().join(index, item).select(user, "_item_idx")
-    n_items = items.agg(F.count_distinct(item)).scalar()
+    index = written(dense_index(items, item, "_item_idx"))
+    history = written(positives.select(user, item).distinct().join(index, item).select(user, "_item_idx"))
+    n_items = index.agg(F.count("*")).scalar()
     n_bought = history.groupBy(user).agg(F.count("*").alias("_n_bought"))
     draws = (
         positives.withColumn("_u", seeded_uniform(seed, *keys))
@@ -65,8 +66,8 @@ def negative_sample(
         .filter(n_items > F.col("_n_bought"))
         .drop("_u", "_n_bought")
     )
-    ranges = unseen_ranges(n_bought, history, user, "_item_idx", n_items)
-    picked = pick_unseen(draws, ranges, user, "_nth", "_item_idx")
+    ranges = written(unseen_ranges(n_bought, history, user, "_item_idx", n_items))
+    picked = pick_unseen(written(draws), ranges, user, "_nth", "_item_idx")
     return picked.join(index, "_item_idx").drop("_item_idx", "_nth")
 
 
@@ -75,11 +76,11 @@ def training_examples(
 ) -> DataFrame:
     """Positives (bought = 1) and as many negatives (0) in the same contexts, with an example ID."""
     pos_id = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    based = positives.withColumn("_src", pos_id)
     columns = [user, item, *context, "_src"]
+    based = written(positives.withColumn("_src", pos_id).select(*dict.fromkeys([*columns, *keys])))
     negatives = negative_sample(based, items, user, item, keys, seed).select(*columns).withColumn("bought", F.lit(0))
     rows = based.select(*columns).withColumn("bought", F.lit(1)).unionByName(negatives)
-    return add_example_id(rows, ["_src", "bought"]).drop("_src")
+    return add_example_id(written(rows), ["_src", "bought"]).drop("_src")
 
 
 def _random_firsts(df: DataFrame, user: str, keys: Sequence[str], seed: int, k: int) -> DataFrame:

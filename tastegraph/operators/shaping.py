@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.functions.ordering import dense_position, position_in_group
 from tastegraph.functions.unseen import expand_ranges, unseen_ranges
+from tastegraph.session import written
 
 # A pivoted frame has one column per value; more than this many is a modelling error.
 MAX_PIVOT_COLUMNS = 5000
@@ -123,8 +124,6 @@ def one_hot_encode(train: DataFrame, df: DataFrame, columns: Sequence[str], out:
     coded = indexer.transform(df)
     encoder = OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True).fit(indexer.transform(train))
     names = [f"{c}_{label}" for c, labels in zip(columns, indexer.labelsArray) for label in labels]
-    from pyspark.ml.feature import VectorAssembler
-
     frame = VectorAssembler(inputCols=hot, outputCol=out).transform(encoder.transform(coded))
     return frame.drop(*indexed, *hot), names
 
@@ -161,9 +160,9 @@ def candidate_items(users: DataFrame, items: DataFrame, seen: DataFrame, user: s
     The complement of each history comes from the gaps in the dense item index, so no
     user x item product is joined and nothing is anti-joined.
     """
-    index = dense_index(items, item, "_item_idx")
-    history = seen.select(user, item).distinct().join(index, item).select(user, "_item_idx")
-    n_items = items.agg(F.count_distinct(item)).scalar()
+    index = written(dense_index(items, item, "_item_idx"))
+    history = written(seen.select(user, item).distinct().join(index, item).select(user, "_item_idx"))
+    n_items = index.agg(F.count("*")).scalar()
     ranges = unseen_ranges(users, history, user, "_item_idx", n_items)
     return expand_ranges(ranges, "_item_idx").join(index, "_item_idx").select(user, item)
 
