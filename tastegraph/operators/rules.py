@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegraph.functions.ordering import first_k
+from tastegraph.functions.ordering import dense_position, first_k
+from tastegraph.session import written
 
 
 def frequent_itemsets(baskets: DataFrame, min_support: float, max_len: int | None = None) -> DataFrame:
@@ -31,13 +32,12 @@ def association_rules(itemsets: DataFrame, metric: str = "lift", threshold: floa
     members, as the miner's output does; their number depends on the support threshold
     and the catalogue, not on the number of baskets.
     """
-    full = F.shiftleft(F.lit(1), F.size("items"))
+    full = F.pow(F.lit(2), F.size("items")).cast("int")
     splits = itemsets.filter(F.size("items") > 1).select(
         "items", "freq", "n_baskets", F.explode(F.sequence(F.lit(1), full - 2)).alias("_mask")
     )
 
     def side(chosen: int) -> Column:
-        # getbit is signed-safe and takes the position as a column
         return F.filter("items", lambda _, i: F.getbit(F.col("_mask"), i) == F.lit(chosen))
 
     sides = splits.select("freq", "n_baskets", side(1).alias("antecedents"), side(0).alias("consequents"))
@@ -76,7 +76,8 @@ def _by_rarest_item(rules: DataFrame) -> DataFrame:
     """Add the antecedent item that the fewest rules need: the one item a basket is matched on."""
     needed = rules.select(F.explode("antecedents").alias("_item")).groupBy("_item").agg(F.count("*").alias("_need"))
     choice = (
-        rules.select("antecedents").distinct()
+        rules.select("antecedents")
+        .distinct()
         .select("antecedents", F.explode("antecedents").alias("_item"))
         .join(needed, "_item")
         .groupBy("antecedents")
@@ -86,6 +87,34 @@ def _by_rarest_item(rules: DataFrame) -> DataFrame:
     return rules.join(choice, "antecedents")
 
 
+def _contents(baskets: DataFrame) -> DataFrame:
+    """Distinct basket contents with an ID. They are few bytes that expand into many rule
+    rows, so they are dealt out by number and not left to size-based coalescing."""
+    spark = baskets.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    distinct = baskets.filter(F.size("items") > 0).select("items").distinct()
+    keyed = distinct.withColumn("_key", F.to_json("items"))
+    return written(dense_position(keyed, ["_key"], "content_id").drop("_key")).repartition(parts, "content_id")
+
+
+def _match(contents: DataFrame, rules: DataFrame, extra: Column | None = None) -> DataFrame:
+    """Join contents and rules on the rules' rarest item and test containment.
+
+    The tests are spelled out per position (up to the longest rule) because the
+    higher-order functions would leave generated code for every candidate row.
+    """
+    longest = rules.agg(F.max(F.size("antecedents")), F.max(F.size("consequents"))).first()
+    has = lambda side, i: F.array_contains(F.col("items"), F.get(F.col(side), F.lit(i)))
+    holds, adds = F.lit(True), F.lit(False)
+    for i in range(longest[0] or 0):
+        holds = holds & ((F.size("antecedents") <= i) | has("antecedents", i))
+    for i in range(longest[1] or 0):
+        adds = adds | ((F.size("consequents") > i) & ~has("consequents", i))
+    by_item = contents.withColumn("_match", F.explode("items"))
+    matched = by_item.join(rules, "_match")
+    return (matched if extra is None else matched.filter(extra)).filter(holds & adds).drop("_match")
+
+
 def applicable_rules(rules: DataFrame, baskets: DataFrame) -> DataFrame:
     """Rules whose antecedents a basket contains and whose consequents add an item to it.
 
@@ -94,21 +123,35 @@ def applicable_rules(rules: DataFrame, baskets: DataFrame) -> DataFrame:
     is found through one of its items and then tested for containment, which makes at
     most one row per content and rule and never the subsets of a basket.
     """
-    contents = baskets.select("items").distinct()
-    matched = contents.select("items", F.explode("items").alias("_match")).join(_by_rarest_item(rules), "_match")
-    contained = matched.filter(F.forall("antecedents", lambda a: F.array_contains(F.col("items"), a)))
-    return (
-        contained.withColumn("new_items", F.array_except("consequents", "items"))
-        .filter(F.size("new_items") > 0)
-        .drop("_match")
-    )
+    applied = _match(_contents(baskets), written(_by_rarest_item(rules)))
+    return applied.drop("content_id").withColumn("new_items", F.array_except("consequents", "items"))
 
 
 def rule_recommend(rules: DataFrame, baskets: DataFrame, basket: str, k: int = 3) -> DataFrame:
-    """Per basket the items its top ``k`` applicable rules (by lift) add, with the counts that explain them."""
-    order = [F.col("lift").desc(), F.col("antecedents"), F.col("consequents")]
-    best = first_k(applicable_rules(rules, baskets), ["items"], order, k, "rule_rank")
-    return baskets.select(basket, "items").join(best, "items").select(
-        basket, "rule_rank", "antecedents", "consequents", "antecedent_count", "both_count", "confidence", "lift",
-        F.explode("new_items").alias("new_item"),
+    """Per basket the items its top ``k`` applicable rules (by lift) add, with the counts that explain them.
+
+    Of the rules with antecedents A at most 2**(|B|-|A|) - 1 add nothing to a basket B
+    (their consequents are subsets of the rest of B). So only the first
+    k + 2**(|B|-|A|) - 1 rules of A can be among B's best, and the others are dropped
+    before ranking without changing the result.
+    """
+    # The rule table is bounded by the support threshold, so numbering it in one task is.
+    strongest = Window.orderBy(F.col("lift").desc(), "antecedents", "consequents")
+    numbered = _by_rarest_item(rules).withColumn("_no", F.row_number().over(strongest))
+    numbered = numbered.withColumn("_place", F.row_number().over(Window.partitionBy("antecedents").orderBy("_no")))
+    numbered = written(numbered)
+    keys = numbered.select("_no", "_place", "_match", "antecedents", "consequents")
+    contents = _contents(baskets)
+    spare = F.size("items") - F.size("antecedents")
+    reachable = F.col("_place") <= F.lit(k) + F.pow(F.lit(2.0), F.least(spare, F.lit(60))) - 1
+    pairs = _match(contents, keys, reachable).select("content_id", "_no")
+    best = first_k(pairs, ["content_id"], [F.col("_no")], k, "rule_rank")
+    chosen = (
+        best.join(numbered.drop("_place", "_match"), "_no")
+        .join(contents, "content_id")
+        .select(
+            "items", "rule_rank", "antecedents", "consequents", "antecedent_count", "both_count", "confidence", "lift",
+            F.explode(F.array_except("consequents", "items")).alias("new_item"),
+        )
     )
+    return baskets.select(basket, "items").join(chosen, "items").drop("items")

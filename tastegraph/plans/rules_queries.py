@@ -65,16 +65,12 @@ _APPLIED = {
         WHERE NOT list_has_all(items, consequents)""",
 }
 _COLUMNS = """array_to_string(antecedents, ',') AS antecedents, array_to_string(consequents, ',') AS consequents,
-    antecedent_count, both_count, round(antecedent_support, 6) AS antecedent_support,
-    round(consequent_support, 6) AS consequent_support, round(support, 6) AS support, round(confidence, 6) AS confidence,
-    round(lift, 6) AS lift, round(leverage, 6) + 0.0 AS leverage, round(conviction, 6) AS conviction"""
-_ROUNDED = ["antecedent_support", "consequent_support", "support", "confidence", "lift", "leverage", "conviction"]
+    antecedent_count, both_count, antecedent_support, consequent_support, support, confidence, lift, leverage, conviction"""
 
 
 def _readable(df):
-    """Sets as text and numbers to six places, so that two engines compare equal."""
-    shown = {c: F.array_join(c, ",") for c in ("antecedents", "consequents") if c in df.columns}
-    return df.withColumns({**shown, **{c: F.round(c, 6) + 0.0 for c in _ROUNDED if c in df.columns}})
+    """Sets as text. The measures are the same few divisions of counts in both engines, so they stay unrounded."""
+    return df.withColumns({c: F.array_join(c, ",") for c in ("antecedents", "consequents") if c in df.columns})
 
 
 def mined(t):
@@ -109,7 +105,7 @@ def ranked(t):
     "applicable_rules",
     with_ctes(
         "branded order_baskets",
-        """SELECT basket_id, count(*) AS n_rules, round(max(lift), 6) AS best_lift,
+        """SELECT basket_id, count(*) AS n_rules, max(lift) AS best_lift,
         sum(len(list_filter(consequents, lambda c: NOT list_contains(items, c))))::BIGINT AS n_new
         FROM applied GROUP BY 1""",
         **_SQL, **_APPLIED,
@@ -119,7 +115,7 @@ def applicable(t):
     """Rules per basket, summed per content before they meet the baskets."""
     baskets, found = mined(t)
     per_content = rules.applicable_rules(found, baskets).groupBy("items").agg(
-        F.count("*").alias("n_rules"), F.round(F.max("lift"), 6).alias("best_lift"),
+        F.count("*").alias("n_rules"), F.max("lift").alias("best_lift"),
         F.sum(F.size("new_items")).alias("n_new"),
     )
     return baskets.join(per_content, "items").select("basket_id", "n_rules", "best_lift", "n_new")
@@ -131,7 +127,7 @@ def applicable(t):
         "branded order_baskets",
         """SELECT basket_id, rule_rank::INTEGER AS rule_rank, array_to_string(antecedents, ',') AS antecedents,
         array_to_string(consequents, ',') AS consequents, antecedent_count, both_count,
-        round(confidence, 6) AS confidence, round(lift, 6) AS lift,
+        confidence, lift,
         unnest(list_filter(consequents, lambda c: NOT list_contains(items, c))) AS new_item
         FROM (SELECT *, row_number() OVER (PARTITION BY basket_id ORDER BY lift DESC, antecedents, consequents) AS rule_rank
               FROM applied) WHERE rule_rank <= 3""",
