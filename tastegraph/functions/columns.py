@@ -46,12 +46,3 @@ def cosine(a: str | Column, b: str | Column) -> Column:
 
 def sigmoid(x: str | Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-as_col(x)))
-
-
-def sum_vectors(v: str, weight: Column, size: int) -> Column:
-    """Aggregate: weighted sum of arrays of a known length, one plain sum per element.
-
-    Plain sums stay in hash aggregation with a map-side step, where a vector-valued
-    aggregate would sort the rows of every key.
-    """
-    return F.array(*[F.sum(F.get(F.col(v), F.lit(i)).cast("double") * weight) for i in range(size)])
