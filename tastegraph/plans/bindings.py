@@ -123,4 +123,4 @@ CTES = {
 def with_ctes(names: str, body: str, **extra: str) -> str:
     """``WITH`` the named frames (in order) and the extra ones, then the body."""
     parts = [f"{n} AS ({CTES[n]})" for n in names.split()] + [f"{n} AS ({sql})" for n, sql in extra.items()]
-    return f"WITH {', '.join(parts)} {body}"
+    return f"WITH RECURSIVE {', '.join(parts)} {body}"

@@ -24,24 +24,13 @@ def query(name, sql):
     return register
 
 
-# No set of four brands reaches the support threshold in the test tables.
 _SQL = {
     "n": "SELECT count(*) AS n FROM orders",
-    "sets": f"""SELECT * FROM (
-        SELECT [item] AS items, count(*) AS freq FROM branded GROUP BY 1
-        UNION ALL
-        SELECT [x.item, y.item], count(*) FROM branded x JOIN branded y
-            ON x.basket_id = y.basket_id AND x.item < y.item GROUP BY 1
-        UNION ALL
-        SELECT [x.item, y.item, z.item], count(*) FROM branded x
-            JOIN branded y ON x.basket_id = y.basket_id AND x.item < y.item
-            JOIN branded z ON x.basket_id = z.basket_id AND y.item < z.item GROUP BY 1
-        UNION ALL
-        SELECT [x.item, y.item, z.item, w.item], count(*) FROM branded x
-            JOIN branded y ON x.basket_id = y.basket_id AND x.item < y.item
-            JOIN branded z ON x.basket_id = z.basket_id AND y.item < z.item
-            JOIN branded w ON x.basket_id = w.basket_id AND z.item < w.item GROUP BY 1
-        ), n WHERE freq / n >= {MIN_SUPPORT}""",
+    "subsets": """SELECT basket_id, [item] AS items, item AS last FROM branded
+        UNION ALL SELECT s.basket_id, list_append(s.items, b.item), b.item FROM subsets s
+        JOIN branded b ON b.basket_id = s.basket_id AND b.item > s.last""",
+    "sets": f"""SELECT items, count(*) AS freq, any_value(n) AS n FROM subsets, n GROUP BY 1
+        HAVING count(*) / any_value(n) >= {MIN_SUPPORT}""",
     "masks": "SELECT items, freq, n, unnest(range(1, (1 << len(items)) - 1)) AS mask FROM sets WHERE len(items) > 1",
     "sides": """SELECT freq, n, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS antecedents,
         list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 0) AS consequents FROM masks""",
@@ -55,14 +44,8 @@ _SQL = {
         FROM measured WHERE support / (antecedent_support * consequent_support) >= 1.0""",
 }
 _APPLIED = {
-    "keys": """SELECT basket_id, [item] AS antecedents FROM branded
-        UNION ALL SELECT x.basket_id, [x.item, y.item] FROM branded x JOIN branded y
-            ON x.basket_id = y.basket_id AND x.item < y.item
-        UNION ALL SELECT x.basket_id, [x.item, y.item, z.item] FROM branded x
-            JOIN branded y ON x.basket_id = y.basket_id AND x.item < y.item
-            JOIN branded z ON x.basket_id = z.basket_id AND y.item < z.item""",
-    "applied": """SELECT basket_id, items, r.* FROM keys JOIN rules r USING (antecedents) JOIN order_baskets USING (basket_id)
-        WHERE NOT list_has_all(items, consequents)""",
+    "applied": """SELECT basket_id, o.items, r.* FROM subsets s JOIN rules r ON s.items = antecedents
+        JOIN order_baskets o USING (basket_id) WHERE NOT list_has_all(o.items, consequents)""",
 }
 _COLUMNS = """array_to_string(antecedents, ',') AS antecedents, array_to_string(consequents, ',') AS consequents,
     antecedent_count, both_count, antecedent_support, consequent_support, support, confidence, lift, leverage, conviction"""
