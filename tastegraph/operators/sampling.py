@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tastegraph.functions.columns import key_digest, seeded_uniform
 from tastegraph.functions.ordering import first_k, position_in_group
+from tastegraph.functions.skew import attach_stats
 from tastegraph.functions.unseen import pick_unseen, unseen_ranges
 from tastegraph.session import written
 from tastegraph.operators.shaping import add_example_id, dense_index, join_partition_label
@@ -52,19 +53,19 @@ def negative_sample(
     """For each positive row one uniform item the user never bought; context kept.
 
     ``keys`` name a positive row. Draws are independent, so an item may repeat. A user
-    who bought every item gives no row. ``positives`` is read twice.
+    who bought every item gives no row. ``positives`` is read four times.
     """
     index = written(dense_index(items, item, "_item_idx"))
     history = written(positives.select(user, item).distinct().join(index, item).select(user, "_item_idx"))
     n_items = index.agg(F.count("*")).scalar()
     n_bought = history.groupBy(user).agg(F.count("*").alias("_n_bought"))
+    # how often a user occurs among the rows, not among the distinct items, makes it hot
+    per_user = positives.groupBy(user).agg(F.count("*").alias("_n_rows")).join(n_bought, user)
     draws = (
-        positives.withColumn("_u", seeded_uniform(seed, *keys))
-        .drop(item)
-        .join(n_bought, user)
+        attach_stats(positives.withColumn("_u", seeded_uniform(seed, *keys)).drop(item), per_user, user, "_n_rows")
         .withColumn("_nth", F.floor(F.col("_u") * (n_items - F.col("_n_bought"))).cast("bigint"))
         .filter(n_items > F.col("_n_bought"))
-        .drop("_u", "_n_bought")
+        .drop("_u", "_n_bought", "_n_rows")
     )
     ranges = written(unseen_ranges(n_bought, history, user, "_item_idx", n_items))
     picked = pick_unseen(written(draws), ranges, user, "_nth", "_item_idx")

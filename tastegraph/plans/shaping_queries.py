@@ -10,7 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tastegraph.operators import sampling, shaping
 from tastegraph.plans import bindings as b
 from tastegraph.plans.bindings import SEED, unit, with_ctes
-from tastegraph.session import shared_folder
+from tastegraph.session import shared_folder, written
 from tastegraph.sources.catalog import Tables, csv_catalog_scan
 
 QUERIES: dict = {}
@@ -409,7 +409,7 @@ def _negatives_sql(source: str, key: str) -> dict[str, str]:
     ),
 )
 def negatives(t):
-    positives = b.purchases(t).withColumn("pos", F.concat_ws("|", "user_id", "item_id"))
+    positives = written(b.purchases(t)).withColumn("pos", F.concat_ws("|", "user_id", "item_id"))
     drawn = sampling.negative_sample(positives, b.items(t).select("item_id"), "user_id", "item_id", ["pos"], SEED)
     return drawn.select("user_id", "item_id", "priority", "flag")
 
