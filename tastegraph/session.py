@@ -27,6 +27,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     )
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)
@@ -65,3 +66,13 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a frame out by ``key`` if it comes in fewer pieces than there are cores.
+
+    For work that is heavy per row, such as cutting texts into words, on a table that is
+    one small file. A large table has more pieces than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
