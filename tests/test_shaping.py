@@ -1,0 +1,108 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tastegraph.operators import shaping
+from tastegraph.session import shared_folder
+from tastegraph.sources.catalog import csv_catalog_scan
+
+
+def test_csv_catalog_round_trip(spark, tmp_path, rows):
+    data = [('say "hi", ok', "two\nlines", None), (None, "", "a;b"), ("plain", "x", "y")]
+    path = str(tmp_path / "catalog")
+    spark.createDataFrame(data, "title string, description string, categories string").write.option(
+        "header", True
+    ).option("escape", '"').csv(path)
+    expected = [tuple(v or None for v in r) for r in data]  # an empty field is missing
+    assert rows(csv_catalog_scan(spark, path)) == sorted(expected, key=str)
+
+
+def test_union_by_name_fills_missing_columns(spark):
+    a = spark.createDataFrame([("x", "2021-11-11", "url")], "topic string, d string, resources string")
+    b = spark.createDataFrame([("2021-12-14", "y")], "d string, topic string")
+    got = [tuple(r) for r in shaping.union_by_name([a, b], ["d"], ["topic", "d", "resources"]).collect()]
+    assert got == [("y", "2021-12-14", None), ("x", "2021-11-11", "url")]
+
+
+def test_log_round_trip_in_segments(spark, rows):
+    flat = spark.createDataFrame([(u, n + 1, u * 100 + n, 0.5 * n) for u in (1, 2) for n in range(7 * u)],
+                                 "user_id int, transaction_num bigint, item_id int, rating double")
+    nested = shaping.collect_interaction_log(flat, "user_id", ["item_id", "rating"], segment_rows=5)
+    assert sorted((r["user_id"], r["segment"], len(r["log"])) for r in nested.collect()) == [
+        (1, 0, 5), (1, 1, 2), (2, 0, 5), (2, 1, 5), (2, 2, 4)]
+    back = shaping.explode_interaction_log(nested, "user_id", ["item_id", "rating"], segment_rows=5)
+    assert rows(back) == rows(flat)
+
+
+def test_empty_logs_give_an_empty_typed_frame(spark):
+    users = spark.createDataFrame([(1, [])], "user_id int, log array<struct<item_id:int>>")
+    got = shaping.explode_interaction_log(users, "user_id", ["item_id"])
+    assert got.columns == ["user_id", "transaction_num", "item_id"] and got.count() == 0
+
+
+def test_fill_concat_keeps_the_blank_of_a_missing_field(spark):
+    df = spark.createDataFrame([(None, "b", "c"), ("a", None, None)], "t string, d string, k string")
+    assert [r[0] for r in shaping.fill_concat_text(df, ["t", "d", "k"], "x").select("x").collect()] == [" b c", "a  "]
+
+
+def test_dense_index_null_and_error_on_unseen(spark):
+    train = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "c string")
+    index = shaping.dense_index(train, "c")
+    assert sorted(r["idx"] for r in index.collect()) == [0, 1]
+    df = spark.createDataFrame([("a",), ("z",)], "c string")
+    assert {r["c"]: r["idx"] is None for r in shaping.apply_index(df, index, "c").collect()} == {"a": False, "z": True}
+    with pytest.raises(Exception, match="not in the index"):
+        shaping.apply_index(df, index, "c", on_unseen="error").collect()
+    with pytest.raises(ValueError):
+        shaping.apply_index(df, index, "c", on_unseen="skip")
+
+
+def test_one_hot_unknown_and_null_are_all_zero(spark, rows):
+    train = spark.createDataFrame([("b", "x"), ("a", "y")], "c string, d string")
+    df = spark.createDataFrame([(1, "a", "x"), (2, "new", "y"), (3, None, "x")], "id int, c string, d string")
+    frame, names = shaping.one_hot_encode(train, df, ["c", "d"])
+    assert names == ["c_a", "c_b", "d_x", "d_y"]
+    assert rows(shaping.one_hot_rows(frame, "id", names)) == [(1, "c_a"), (1, "d_x"), (2, "d_y"), (3, "d_x")]
+
+
+def test_candidates_are_the_complement(spark, rows):
+    users = spark.createDataFrame([(1,), (2,), (3,)], "u int")
+    items = spark.createDataFrame([(c,) for c in "abc"], "i string")
+    seen = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (2, "b"), (2, "c")], "u int, i string")
+    got = shaping.candidate_items(users, items, seen, "u", "i")
+    assert rows(got) == [(1, "b"), (1, "c"), (3, "a"), (3, "b"), (3, "c")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_baskets_keep_users_without_items(spark, rows):
+    users = spark.createDataFrame([(1,), (2,)], "u int")
+    bought = spark.createDataFrame([(1, "b", 1), (1, "a", 1), (1, "b", 1), (2, "c", 0)], "u int, i string, ok int")
+    sets = shaping.basket_sets(users, bought, "u", "i", F.col("ok") == 1)
+    assert rows(sets) == [(1, ["a", "b"]), (2, [])]
+    matrix = shaping.basket_matrix(users, bought, "u", "i", ["a", "b", "c"], F.col("ok") == 1)
+    assert rows(matrix) == [(1, 1, 1, 0), (2, 0, 0, 0)]
+    with pytest.raises(ValueError):
+        shaping.basket_matrix(users, bought, "u", "i", range(shaping.MAX_PIVOT_COLUMNS + 1), F.lit(True))
+
+
+def test_flags_labels_and_inactive_users(spark, rows):
+    users = spark.createDataFrame([(1,), (2,), (3,)], "u int")
+    marks = spark.createDataFrame([(1,), (1,), (3,)], "u int")
+    assert rows(shaping.left_join_flag(users, marks, ["u"], "f")) == [(1, 1), (2, 0), (3, 1)]
+    kept, dropped = shaping.drop_inactive_users(users, marks, "u")
+    assert rows(kept) == [(1,), (3,)] and dropped.first()[0] == 1
+    assert rows(shaping.restrict_to_ids(users, marks, "u")) == [(1,), (3,)]
+
+
+def test_grid_lookup_and_response_rate(spark, rows):
+    cells = spark.createDataFrame([(x, y, x + y / 10) for x in range(4) for y in range(4)], "qx int, qy int, p double")
+    df = spark.createDataFrame([(1, 0, 99), (2, 24, 25), (3, 75, 50)], "id int, x int, y int")
+    got = shaping.grid_bucket_lookup(df, cells, "x", "y").select("id", "p")
+    assert rows(got) == [(1, 0.3), (2, 0.1), (3, 3.2)]
+    obs = spark.createDataFrame([(1, 1), (1, 0), (2, 1)], "u int, y int")
+    assert rows(shaping.user_response_rate(obs, "u", "y")) == [(1, 2, 0.5), (2, 1, 1.0)]
+    assert rows(shaping.user_response_rate(obs, "u", "y", alpha=1.0)) == [(1, 2, 0.5), (2, 1, 0.75)]
+
+
+def test_shared_folder_follows_the_session(spark):
+    assert shared_folder(spark) == shared_folder(spark)
