@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,20 +76,17 @@ def dense_position(df: DataFrame, keys: Sequence[str], out: str, digits: int = 3
     )
 
 
-def quantile_block(df: DataFrame, value: str, n_blocks: int = 256) -> Column:
-    """Block number of ``value`` by approximate quantiles of its values in ``df``.
+def quantile_blocks(df: DataFrame, value: str, out: str = "_q", n_blocks: int = 256) -> DataFrame:
+    """Add the block number of ``value`` by approximate quantiles of its values in ``df``.
 
-    The cut points (at most ``n_blocks`` numbers) become literals, so every use of the
-    column and every repeated task sees the same ones.
+    The cut points (fewer than ``n_blocks`` numbers) are fixed here, so every use of the
+    frame and every repeated task sees the same ones; each row is placed by binary search.
     """
-    cuts = df.agg(
-        F.percentile_approx(value, [i / n_blocks for i in range(1, n_blocks)], 10 * n_blocks).alias("cuts")
-    ).first()["cuts"]
-    cuts = sorted({float(c) for c in cuts or []})
-    if not cuts:
-        return F.lit(0)
-    literal = F.array(*[F.lit(c) for c in cuts])
-    return F.size(F.filter(literal, lambda c: c < F.col(value)))
+    number = F.col(value).cast("double")
+    cuts = df.agg(F.percentile_approx(number, [i / n_blocks for i in range(1, n_blocks)], 10 * n_blocks)).first()[0]
+    splits = [float("-inf"), *sorted({float(c) for c in cuts or [0.0]}), float("inf")]
+    placed = Bucketizer(splits=splits, inputCol="_value", outputCol=out).transform(df.withColumn("_value", number))
+    return placed.drop("_value")
 
 
 def carry_forward(

@@ -342,7 +342,7 @@ def _labelled(t):
     """(training, validation) examples with user and item attributes."""
     rows = shaping.attach_attributes(examples(t), b.users(t), "user_id")
     rows = shaping.attach_attributes(rows, b.items(t), "item_id").withColumn("bought", F.col("bought").cast("double"))
-    parts = written(sampling.split_leave_one_out(rows, "user_id", ["example_id"], SEED))
+    parts = written(sampling.split_leave_one_out(written(rows), "user_id", ["example_id"], SEED))
     return parts.filter("model_data_partition = 'train'"), parts.filter("model_data_partition = 'validate'")
 
 

@@ -144,7 +144,7 @@ def concatenated(t):
     ),
 )
 def example_ids(t):
-    return shaping.add_example_id(b.pairs(t), ["user_id", "item_id"])
+    return shaping.add_example_id(written(b.pairs(t)), ["user_id", "item_id"])
 
 
 _ORDERING_USERS = """SELECT o_custkey AS user_id, row_number() OVER (ORDER BY md5(o_custkey::VARCHAR)) - 1 AS idx
