@@ -69,10 +69,10 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a frame out by ``key`` if it comes in fewer pieces than there are cores.
+    """Deal a frame out by ``key`` if it is read from fewer files than there are cores.
 
-    For work that is heavy per row, such as cutting texts into words, on a table that is
-    one small file. A large table has more pieces than cores and is left as it is.
+    For work that is heavy per row, such as cutting texts into words, on a small table. A
+    large table has more files than cores and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
