@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as driver
 from check import compare, connect
+from tastegraph.plans import all_oracles, all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 ROWS_ONLY = {
     "mf_als_recommend", "predict_holdout", "interaction_classifier", "deep_classifier", "lsi_similar_topk", "lda_similar_topk",
 }
