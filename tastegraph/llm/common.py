@@ -26,29 +26,32 @@ def crc32_mod(key: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def passing(rows: DataFrame, key: Column, keys: DataFrame, key_name: str) -> DataFrame:
-    """Rows whose ``key`` (a hash, bigint) is perhaps among ``keys``; none that is, is lost.
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """``keys`` (hashes, bigint) folded into bitmaps of FILTER_BITS bits in all.
 
-    The keys are folded into a bitmap of FILTER_BITS bits, which is small enough to broadcast
-    whatever their number. It lets a few other rows pass, so an exact join has to follow; it
-    saves shuffling whole texts of rows that cannot be meant.
+    They are small enough to broadcast whatever the number of keys.
     """
-    bit = F.pmod(F.col(key_name), F.lit(FILTER_BITS))
-    bitmaps = (
-        keys.filter(F.col(key_name).isNotNull())
-        .groupBy(F.bitmap_bucket_number(bit).alias("_bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("_bitmap"))
+    bit = F.pmod(F.col(key), F.lit(FILTER_BITS))
+    return (
+        keys.filter(F.col(key).isNotNull())
+        .select(F.bitmap_bucket_number(bit).alias("_bucket"), F.bitmap_bit_position(bit).alias("_place"))
+        .groupBy("_bucket")
+        .agg(F.bitmap_construct_agg("_place").alias("_bitmap"))
     )
+
+
+def in_filter(rows: DataFrame, key: Column, bitmaps: DataFrame, passing: bool = True) -> DataFrame:
+    """Rows whose ``key`` (a hash, bigint) is perhaps among those of ``key_filter``.
+
+    A few other rows pass, so an exact step has to follow; it saves shuffling whole texts of
+    rows that cannot be meant. ``passing=False``: the other rows, all of which are certain.
+    """
     mine = F.pmod(key, F.lit(FILTER_BITS))
     place = F.bitmap_bit_position(mine)
     byte = F.conv(F.hex(F.substring("_bitmap", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.col("_bitmap").isNotNull() & (F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1)
-    return (
-        rows.withColumn("_bucket", F.bitmap_bucket_number(mine))
-        .join(F.broadcast(bitmaps), "_bucket")
-        .filter(is_set)
-        .select(rows.columns)
-    )
+    is_set = F.coalesce(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1, F.lit(False))
+    joined = rows.withColumn("_bucket", F.bitmap_bucket_number(mine)).join(F.broadcast(bitmaps), "_bucket", "inner" if passing else "left")
+    return joined.filter(is_set if passing else ~is_set).select(rows.columns)
 
 
 def attach_left(rows: DataFrame, stats: DataFrame, key: str, n: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegraph.llm import bpe_automaton
+from tastegraph.llm import bpe_automaton, exact_dedup
 from tastegraph.llm.common import table
 
 
@@ -15,12 +15,29 @@ def tokenizer_definition(name: str = "word_bpe_49k.json") -> str:
         return file.read()
 
 
+def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.duplicate_report(table(spark, folder, "documents"))
+
+
 def op7_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.digests(table(spark, folder, "documents"), tokenizer_definition())
 
 
 QUERIES = {
+    "op4_exact_dedup": op4_exact_dedup,
     "op7_bpe_automaton": op7_bpe_automaton,
 }
 
-ORACLES: dict[str, str] = {}
+NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op4_exact_dedup": f"""
+        WITH d AS (SELECT doc_id, {NORMAL} AS normal FROM documents)
+        SELECT doc_id,
+               max(doc_id) OVER same AS keep_id,
+               CAST(count(*) OVER same AS BIGINT) AS group_size,
+               doc_id = max(doc_id) OVER same AS kept,
+               sha256(normal) AS text_sha256
+        FROM d WINDOW same AS (PARTITION BY normal)
+    """,
+}
