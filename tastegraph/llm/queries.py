@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegraph.llm import bpe_automaton, exact_dedup
+from tastegraph.llm import bpe_automaton, exact_dedup, token_files
 from tastegraph.llm.common import table
+from tastegraph.session import shared_folder
 
 
 def tokenizer_definition(name: str = "word_bpe_49k.json") -> str:
@@ -23,7 +26,14 @@ def op7_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.digests(table(spark, folder, "documents"), tokenizer_definition())
 
 
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/token-ids-{uuid.uuid4().hex}"
+    token_files.write_ids(table(spark, folder, "documents"), tokenizer_definition(), path, end_id=1)
+    return token_files.read_ids(spark, path, digests_only=True).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op10_token_files": op10_token_files,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_bpe_automaton": op7_bpe_automaton,
 }
