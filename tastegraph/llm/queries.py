@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tastegraph.llm import bpe_automaton, exact_dedup, token_files
+from tastegraph.llm import bpe_automaton, exact_dedup, secrets, token_files
 from tastegraph.llm.common import table
 from tastegraph.session import shared_folder
 
@@ -26,6 +26,10 @@ def op7_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.digests(table(spark, folder, "documents"), tokenizer_definition())
 
 
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_digests(table(spark, folder, "documents"))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/token-ids-{uuid.uuid4().hex}"
     token_files.write_ids(table(spark, folder, "documents"), tokenizer_definition(), path, end_id=1)
@@ -33,14 +37,52 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op9_secrets": op9_secrets,
     "op10_token_files": op10_token_files,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_bpe_automaton": op7_bpe_automaton,
 }
 
+def _secrets_sql() -> str:
+    """The rules run over every text: gaps and matches in turn give the offsets."""
+
+    def quoted(rule):
+        return "'" + (("(?i)" if rule.ignore_case else "") + rule.pattern).replace("'", "''") + "'"
+
+    parts = " UNION ALL ".join(
+        f"""
+        SELECT doc_id, {i} AS kind, '{r.kind}' AS name, {r.least} AS least, {str(r.base).lower()} AS base,
+               generate_subscripts(gaps, 1) AS no, unnest(gaps) AS gap, unnest(matches) AS found, unnest(vals) AS val
+        FROM (SELECT doc_id, string_split_regex(text, {quoted(r)}) AS gaps,
+                     regexp_extract_all(text, {quoted(r)}) AS matches,
+                     regexp_extract_all(text, {quoted(r)}, {r.group}) AS vals
+              FROM documents WHERE text IS NOT NULL)
+        """
+        for i, r in enumerate(secrets.RULES)
+    )
+    counts = ", ".join(f"count(*) FILTER (name = '{r.kind}') AS n_{r.kind}" for r in secrets.RULES if r.base)
+    return f"""
+        WITH p AS ({parts}),
+        ends AS (
+            SELECT *, CAST(sum(length(gap) + coalesce(length(found), 0))
+                OVER (PARTITION BY doc_id, kind ORDER BY no) AS BIGINT) AS stop FROM p),
+        m AS (SELECT *, stop - length(found) AS start, name || ':' || (stop - length(found)) || ':' || stop AS span
+              FROM ends WHERE found IS NOT NULL AND length(val) >= least),
+        g AS (
+            SELECT doc_id, {counts},
+                   coalesce(string_agg(span, ',' ORDER BY start, kind) FILTER (base), '') AS own,
+                   string_agg(span, ',' ORDER BY start, kind) AS spans
+            FROM m GROUP BY doc_id)
+        SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.RULES if r.base)},
+               sha256(coalesce(own, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM documents LEFT JOIN g USING (doc_id)
+    """
+
+
 NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op9_secrets": _secrets_sql(),
     "op4_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {NORMAL} AS normal FROM documents)
         SELECT doc_id,
