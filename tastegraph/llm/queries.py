@@ -6,8 +6,9 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe_automaton, exact_dedup, secrets, token_files
+from tastegraph.llm import bpe_automaton, exact_dedup, secrets, token_files, topk_blocks
 from tastegraph.llm.common import table
 from tastegraph.session import shared_folder
 
@@ -18,6 +19,11 @@ def tokenizer_definition(name: str = "word_bpe_49k.json") -> str:
         return file.read()
 
 
+def op1_topk_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return topk_blocks.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicate_report(table(spark, folder, "documents"))
 
@@ -37,6 +43,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_topk_blocks": op1_topk_blocks,
     "op9_secrets": op9_secrets,
     "op10_token_files": op10_token_files,
     "op4_exact_dedup": op4_exact_dedup,
@@ -82,6 +89,20 @@ def _secrets_sql() -> str:
 NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op1_topk_blocks": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM s QUALIFY rank <= 5
+    """,
     "op9_secrets": _secrets_sql(),
     "op4_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {NORMAL} AS normal FROM documents)
