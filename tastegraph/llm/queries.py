@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe_automaton, exact_dedup, secrets, token_files, topk_blocks
-from tastegraph.llm.common import table
+from tastegraph.llm import bpe_automaton, exact_dedup, language_mix, secrets, token_files, topk_blocks, toxicity
+from tastegraph.llm.common import crc32_mod, table
 from tastegraph.session import shared_folder
 
 
@@ -24,10 +24,25 @@ def op1_topk_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return topk_blocks.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op2_language_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = crc32_mod("doc_id", 3) == 1
+    model = language_mix.learn(docs.filter(~held_out))
+    return language_mix.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "langs", "shares")
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicate_report(table(spark, folder, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = crc32_mod("doc_id", 5) == 0
+    model = toxicity.train(docs, table(spark, folder, "labels"), ~held_out)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.digests(table(spark, folder, "documents"), tokenizer_definition())
 
@@ -46,7 +61,9 @@ QUERIES = {
     "op1_topk_blocks": op1_topk_blocks,
     "op9_secrets": op9_secrets,
     "op10_token_files": op10_token_files,
+    "op2_language_mix": op2_language_mix,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_bpe_automaton": op7_bpe_automaton,
 }
 
