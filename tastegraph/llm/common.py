@@ -60,12 +60,31 @@ def attach_left(rows: DataFrame, stats: DataFrame, key: str, n: str) -> DataFram
     A key with more than 1/HOT_SHARE of what ``n`` sums up to is broadcast, which fewer than
     HOT_SHARE keys can be; only rows of other keys are shuffled.
     """
-    share = stats.agg(F.sum(n).alias("_total"))
-    marked = stats.join(F.broadcast(share), F.col(n) * F.lit(HOT_SHARE) > F.col("_total"), "left")
-    hot = marked.filter(F.col("_total").isNotNull()).drop("_total")
-    cold = marked.filter(F.col("_total").isNull()).drop("_total")
+    total = stats.agg(F.sum(n)).head()[0] or 0
+    is_hot = F.col(n) * F.lit(HOT_SHARE) > F.lit(total)
+    hot, cold = stats.filter(is_hot), stats.filter(~is_hot)
     held = [c for c in stats.columns if c != key]
     first = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
     found = first.filter(F.col("_hot")).drop("_hot")
     rest = first.filter(F.col("_hot").isNull()).drop("_hot", *held).join(cold, key, "left")
     return found.unionByName(rest)
+
+
+def text_key(id_col: str, text_col: str) -> list[Column]:
+    """What a row is known by where its text does not travel: ID, hash and length of the text."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return [F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.length(text).alias("len")]
+
+
+def without(rows: DataFrame, dropped: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``rows`` less those whose ``text_key`` is in ``dropped`` (id, hash, len).
+
+    Rows that are certainly not meant stay where they are; only the rest is joined.
+    """
+    key, names = text_key(id_col, text_col), ["id", "hash", "len"]
+    bits = key_filter(dropped, "hash")
+    certain = in_filter(rows, key[1], bits, passing=False)
+    maybe = in_filter(rows, key[1], bits).withColumn("_key", F.struct(*key))
+    gone = dropped.select(F.struct(*names).alias("_gone")).distinct()
+    same = [maybe["_key"][n].eqNullSafe(gone["_gone"][n]) for n in names]
+    return certain.unionByName(maybe.join(gone, same[0] & same[1] & same[2], "left_anti").select(rows.columns))

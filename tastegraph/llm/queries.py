@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe_automaton, exact_dedup, language_mix, secrets, token_files, topk_blocks, toxicity
+from tastegraph.llm import bpe_automaton, exact_dedup, language_mix, quality, secrets, token_files, topk_blocks, toxicity
 from tastegraph.llm.common import crc32_mod, table
 from tastegraph.session import shared_folder
 
@@ -47,6 +47,11 @@ def op7_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.digests(table(spark, folder, "documents"), tokenizer_definition())
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.withColumnRenamed("id", "doc_id").drop("hash", "len")
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_digests(table(spark, folder, "documents"))
 
@@ -59,6 +64,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk_blocks": op1_topk_blocks,
+    "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
     "op10_token_files": op10_token_files,
     "op2_language_mix": op2_language_mix,

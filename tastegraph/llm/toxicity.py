@@ -1,15 +1,15 @@
 """Toxicity scores by non-negative positive-unlabelled (nnPU) learning.
 
 Confirmed toxic texts are the positives; all training texts together are the unlabelled set,
-a sample of the marginal distribution. A linear classifier over word presence is trained in
-numpy on the class-prior-corrected risk
+a sample of the marginal distribution. A linear classifier over words and word beginnings is
+trained in numpy on the class-prior-corrected risk
 
     prior * R_P(+) + max(0, R_U(-) - prior * R_P(-)),
 
 whose negative part may not fall below zero: where it does, the step goes the other way.
 
-Vocabulary: the VOCABULARY words held by most positives; their frequencies in all training texts
-then give the FEATURES words that differ most. Statistics cover all training texts. The fit
+Vocabulary: the VOCABULARY features held by most positives; their frequencies in all training
+texts then give the FEATURES that differ most. Statistics cover all training texts. The fit
 itself uses at most POSITIVES positives and UNLABELLED texts, those with the smallest hashes
 of their IDs (a documented bound; the scores cover every row).
 
@@ -20,6 +20,7 @@ the prior. Rows that repeat are scored alike; an empty table gives an empty resu
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -30,14 +31,48 @@ from pyspark.sql import functions as F
 
 from tastegraph.llm.common import in_filter, key_filter
 
-VOCABULARY, FEATURES = 20_000, 2_000
+VOCABULARY, FEATURES = 30_000, 1_000
 POSITIVES, UNLABELLED = 4_000, 16_000
-STEPS, RATE, RIDGE = 300, 0.05, 1e-4
+STEPS, RATE, RIDGE = 300, 0.05, 1e-3
+# Distinct words whose features a task keeps; then it starts anew.
+KEPT_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def words(text: str | None) -> set[str]:
-    return set(_WORD.findall(text.lower())) if text else set()
+class Finder:
+    """Features of a text: its words, and how many of its distinct words share a beginning.
+
+    ``=word`` is a word held; ``beg#n`` says that at least n (1 to 3) distinct words begin with
+    ``beg`` (4 to 8 letters). With ``known``, only those features are looked for.
+    """
+
+    def __init__(self, known=None):
+        self.known = None if known is None else frozenset(known)
+        self.stems = None if known is None else {f if f[0] == "=" else f[:-2] for f in known}
+        self.kept: dict[str, tuple] = {}
+
+    def _of_word(self, word: str) -> tuple:
+        found = self.kept.get(word)
+        if found is None:
+            if len(self.kept) >= KEPT_WORDS:
+                self.kept.clear()
+            found = ("=" + word, *(word[:n] for n in range(4, min(9, len(word) + 1))))
+            if self.stems is not None:
+                found = tuple(f for f in found if f in self.stems)
+            if len(word) <= 64:
+                self.kept[word] = found
+        return found
+
+    def __call__(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        counts: dict[str, int] = {}
+        for word in set(_WORD.findall(text.lower())):
+            for f in self._of_word(word):
+                counts[f] = counts.get(f, 0) + 1
+        out = [f for f in counts if f[0] == "="]
+        out += [f"{f}#{n}" for f, c in counts.items() if f[0] != "=" for n in range(1, min(c, 3) + 1)]
+        return sorted(out if self.known is None else self.known.intersection(out))
 
 
 @dataclass
@@ -46,10 +81,14 @@ class Model:
     weights: dict[str, float]
     intercept: float
 
-    def score(self, text: str | None) -> float:
-        held = words(text) & self.weights.keys()
-        z = self.intercept + sum(self.weights[w] for w in sorted(held))
-        return float(1 / (1 + np.exp(-np.clip(z, -700, 700))))
+    def scorer(self):
+        finder = Finder(self.weights)
+
+        def score(text: str | None) -> float:
+            z = self.intercept + sum([self.weights[f] for f in finder(text)])
+            return float(1 / (1 + math.exp(-min(700.0, max(-700.0, z)))))
+
+        return score
 
 
 def _sums(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -83,13 +122,15 @@ def nnpu_fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int
     return theta[:size], float(theta[size])
 
 
-def _word_counts(texts: DataFrame) -> DataFrame:
+def _feature_counts(texts: DataFrame) -> DataFrame:
     def run(batches):
+        finder = Finder()
         for batch in batches:
-            out = [w for text in batch.column(0).to_pylist() for w in sorted(words(text))]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["word"])
+            for a in range(0, batch.num_rows, 200):
+                found = [f for text in batch.column(0).slice(a, 200).to_pylist() for f in finder(text)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["feature"])
 
-    return texts.mapInArrow(run, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return texts.mapInArrow(run, "feature string").groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _numbered(texts: DataFrame, vocabulary: list[str], totals: bool) -> DataFrame:
@@ -98,10 +139,10 @@ def _numbered(texts: DataFrame, vocabulary: list[str], totals: bool) -> DataFram
 
     def run(batches):
         place = sent.value
-        known = place.keys()
+        finder = Finder(place)
         counts, n = np.zeros(len(place), np.int64), 0
         for batch in batches:
-            found = [sorted(place[w] for w in words(text) & known) for text in batch.column(0).to_pylist()]
+            found = [[place[f] for f in finder(text)] for text in batch.column(0).to_pylist()]
             if totals:
                 n += len(found)
                 for f in found:
@@ -110,10 +151,10 @@ def _numbered(texts: DataFrame, vocabulary: list[str], totals: bool) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["features"])
         if totals:
             numbers = np.append(np.flatnonzero(counts), -1)
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(np.append(counts[numbers[:-1]], n), pa.int64())], ["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(np.append(counts[numbers[:-1]], n), pa.int64())], ["feature", "n"])
 
     if totals:
-        return texts.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        return texts.mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     return texts.mapInArrow(run, "features array<int>")
 
 
@@ -138,9 +179,9 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, text_col: str =
         return Model(prior, {}, float(np.log(prior / (1 - prior))))
     positive = own.filter("label = 1").select("key")
     rows = docs.filter(training)
-    held = _word_counts(_texts_of(rows, positive, id_col, text_col)).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    vocabulary = [r.word for r in held]
-    counts = {r.word: r.n for r in _numbered(rows.select(text_col), vocabulary, totals=True).collect()}
+    held = _feature_counts(_texts_of(rows, positive, id_col, text_col)).orderBy(F.desc("n"), "feature").limit(VOCABULARY).collect()
+    vocabulary = [r.feature for r in held]
+    counts = {r.feature: r.n for r in _numbered(rows.select(text_col), vocabulary, totals=True).collect()}
     total = max(1, counts.pop(-1, 1))
     in_positive, in_all = np.array([r.n for r in held], float), np.array([counts.get(i, 0) for i in range(len(held))], float)
     a, b = (in_positive + 0.5) / (toxic + 1), (in_all + 0.5) / (total + 1)
@@ -163,9 +204,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        fitted = sent.value
+        one = sent.value.scorer()
         for batch in batches:
-            out = [fitted.score(text) for text in batch.column(1).to_pylist()]
+            out = [one(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
