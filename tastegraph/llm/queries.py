@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe_automaton, exact_dedup, language_mix, quality, secrets, token_files, topk_blocks, toxicity
+from tastegraph.llm import bpe_automaton, exact_dedup, language_mix, mixing, quality, secrets, token_files, topk_blocks, toxicity
 from tastegraph.llm.common import crc32_mod, table
 from tastegraph.session import shared_folder
 
@@ -31,6 +31,19 @@ def op2_language_mix(spark: SparkSession, folder: str) -> DataFrame:
     return language_mix.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "langs", "shares")
 
 
+# Targets of the mixture: each margin's present tokens to this power.
+MIX_POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.5}
+
+
+def mix_margins() -> dict:
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.length_topic(mixing.token_count(F.col("text")))}
+
+
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.mix_report(table(spark, folder, "documents"), mix_margins(), MIX_POWERS)
+    return found.withColumn("weight", F.round("weight", 6)).withColumn("probability", F.round("probability", 6))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicate_report(table(spark, folder, "documents"))
 
@@ -68,6 +81,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_token_files": op10_token_files,
     "op2_language_mix": op2_language_mix,
+    "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_bpe_automaton": op7_bpe_automaton,
@@ -109,6 +123,36 @@ def _secrets_sql() -> str:
     """
 
 
+def _mixing_sql() -> str:
+    """The rounds of raking, written out."""
+    steps, last = [], "c0"
+    for step in range(mixing.ROUNDS * len(MIX_POWERS)):
+        margin = list(MIX_POWERS)[step % len(MIX_POWERS)]
+        held = f"sum(weight) OVER (PARTITION BY {margin})"
+        steps.append(f"""c{step + 1} AS (
+            SELECT c.* REPLACE (CASE WHEN {held} > 0 THEN weight * coalesce(share, 0) / {held} ELSE 0 END AS weight)
+            FROM {last} c LEFT JOIN t_{margin} USING ({margin}))""")
+        last = f"c{step + 1}"
+    goals = ", ".join(
+        f"""t_{m} AS (SELECT {m}, target / sum(target) OVER () AS share FROM (
+            SELECT {m}, pow(CAST(sum(base) AS DOUBLE), {p}) AS target FROM c0 GROUP BY {m} HAVING sum(base) > 0))"""
+        for m, p in MIX_POWERS.items()
+    )
+    return f"""
+        WITH words AS (
+            SELECT doc_id, coalesce('=' || source, '') AS source, coalesce('=' || lang, '') AS lang,
+                   coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS tokens FROM documents),
+        d AS (SELECT *, CASE WHEN tokens < 200 THEN '=short' WHEN tokens < 800 THEN '=medium' ELSE '=long' END AS topic FROM words),
+        c0 AS (SELECT source, lang, topic, sum(tokens) AS base, CAST(sum(tokens) AS DOUBLE) AS weight FROM d GROUP BY ALL),
+        {goals}, {", ".join(steps)},
+        r AS (SELECT source, lang, topic, CASE WHEN base > 0 THEN weight * (SELECT sum(base) FROM c0) / base END AS ratio FROM {last}),
+        p AS (SELECT *, coalesce(ratio / (SELECT max(ratio) FROM r), 1) AS chance FROM r)
+        SELECT doc_id, CAST(tokens AS BIGINT) AS tokens, round(coalesce(ratio, 0), 6) AS weight, round(chance, 6) AS probability,
+               CAST('0x' || substr(md5('mix3|' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0 < chance AS kept
+        FROM d JOIN p USING (source, lang, topic)
+    """
+
+
 NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
@@ -127,6 +171,7 @@ ORACLES: dict[str, str] = {
         FROM s QUALIFY rank <= 5
     """,
     "op9_secrets": _secrets_sql(),
+    "op3_mixing": _mixing_sql(),
     "op4_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {NORMAL} AS normal FROM documents)
         SELECT doc_id,
