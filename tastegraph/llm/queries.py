@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe_automaton, exact_dedup, language_mix, mixing, quality, secrets, token_files, topk_blocks, toxicity
+from tastegraph.llm import bpe_automaton, exact_dedup, jaccard_join, language_mix, mixing, quality, secrets, token_files, topk_blocks, toxicity
 from tastegraph.llm.common import crc32_mod, table
 from tastegraph.session import shared_folder
 
@@ -48,6 +48,11 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicate_report(table(spark, folder, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard_join.similar_documents(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = crc32_mod("doc_id", 5) == 0
@@ -83,6 +88,7 @@ QUERIES = {
     "op2_language_mix": op2_language_mix,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op7_bpe_automaton": op7_bpe_automaton,
 }
@@ -170,6 +176,24 @@ ORACLES: dict[str, str] = {
                vec_id, score
         FROM s QUALIFY rank <= 5
     """,
+    "op5_jaccard_join": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all({NORMAL}, '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(
+                CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: words[i:i + 4])
+                     WHEN len(words) > 0 THEN [words] ELSE [] END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pairs AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+            WHERE 100 * shared >= 80 * (a.n + b.n - shared)),
+        reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)
+    """,
     "op9_secrets": _secrets_sql(),
     "op3_mixing": _mixing_sql(),
     "op4_exact_dedup": f"""
