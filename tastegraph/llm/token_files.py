@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tastegraph.session import written
+
 # The dictionary is trained on the first TRAIN_CHARS characters of TRAIN_DOCS documents (those
 # with the smallest hashes of their IDs): a bounded sample, whatever the size of the corpus.
 TRAIN_DOCS, TRAIN_CHARS, DICTIONARY_BYTES = 1000, 2000, 32768
@@ -45,7 +47,8 @@ _SPACE = re.compile("[^\\S\x1c-\x1f]+")
 class PieceEncoder:
     """IDs of texts by the tokenizers library, which is asked once for each distinct piece.
 
-    Valid for tokenizers that split at white space and drop it: no token spans two pieces.
+    Valid for tokenizers that drop white space, fold case and split letters from punctuation:
+    no token spans two pieces, nor a word and its closing mark.
     """
 
     def __init__(self, definition: str, width: int):
@@ -65,18 +68,29 @@ class PieceEncoder:
         for pieces in split:
             new.update(pieces)
         new.difference_update(kept)
-        asked = list(new)
+        # A word and its closing mark are apart for the tokenizer, and case is folded: most new
+        # pieces are known words in another form.
+        formed = {p: (m[1].lower(), m[2]) for p in new if (m := _FORMED.fullmatch(p))}
+        wanted = new.difference(formed)
+        for parts in formed.values():
+            wanted.update(parts)
+        wanted.discard("")
+        wanted.difference_update(kept)
+        asked = list(wanted)
         for a in range(0, len(asked), 20_000):
             part = asked[a : a + 20_000]
             for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 kept[piece] = np.array(found.ids, self.kind).tobytes()
+        for piece, (word, mark) in formed.items():
+            kept[piece] = kept[word] + kept[mark] if mark else kept[word]
         out = [b"".join([kept[p] for p in pieces]) for pieces in split]
-        for piece in asked:
-            if len(piece) > 64:
-                del kept[piece]
+        for piece in [p for p in new | wanted if len(p) > 64]:
+            kept.pop(piece, None)
         return out
 
 
+# Letters of ASCII and at most one mark, which no splitting rule joins with letters.
+_FORMED = re.compile("([A-Za-z]+)([.,;:!?]?)")
 _ODD = re.compile("[\x1c-\x1f]")
 _encoders: dict[tuple, PieceEncoder] = {}
 
@@ -98,7 +112,10 @@ def train_dictionary(docs: DataFrame, definition: str, width: int, text_col: str
     """A dictionary from serialized ID arrays of the bounded sample; empty if there is none."""
     text = F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, TRAIN_CHARS)
     order = F.xxhash64(F.col(id_col))
-    rows = docs.select(order.alias("o"), text.alias("t")).orderBy("o", "t").limit(TRAIN_DOCS).collect()
+    last = docs.select(order.alias("o")).distinct().orderBy("o").limit(TRAIN_DOCS).agg(F.max("o")).head()[0]
+    if last is None:
+        return b""
+    rows = docs.filter(order <= last).groupBy(order.alias("o")).agg(F.min(text).alias("t")).orderBy("o").collect()
     samples = [s for s in _encoder(definition, width).encode([r.t for r in rows]) if s]
     if not samples:
         return b""
@@ -167,9 +184,10 @@ def write_ids(docs: DataFrame, definition: str, path: str, end_id: int | None =
     # The salt lets rows that repeat one ID (or have none) be dealt to several partitions.
     salted = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (F.monotonically_increasing_id() % SALTS).alias("salt"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Written before the ranges are drawn, which reads it twice.
+    framed = written(salted.mapInArrow(frames, f"id {kind}, salt long, n long, frame binary"))
     ordered = (
-        salted.mapInArrow(frames, f"id {kind}, salt long, n long, frame binary")
-        .repartitionByRange(parts, F.asc_nulls_first("id"), "salt")
+        framed.repartitionByRange(parts, F.asc_nulls_first("id"), "salt")
         .sortWithinPartitions(F.asc_nulls_first("id"), "salt")
         .select("id", "n", "frame")
     )
