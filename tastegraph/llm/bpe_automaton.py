@@ -73,9 +73,10 @@ class Automaton:
     def _gadget(self, step: int, u: int, v: int, w: int, known: set[int]) -> None:
         if u not in known or v not in known or w in known:
             raise ValueError("a merge uses a token before it is made, or makes it twice")
-        if not self._has(u, v):
+        if u not in self.dead and self._has(u, v):
+            self.lost[u, v] = step
+        else:  # v never follows u: no path has this token
             self.dead.add(w)
-        self.lost.setdefault((u, v), step)
         self.born[w], self.left[w], self.copied[w] = step, u, v
         known.add(w)
 

@@ -76,15 +76,21 @@ def text_key(id_col: str, text_col: str) -> list[Column]:
     return [F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.length(text).alias("len")]
 
 
+def packed(rows: DataFrame, *more: Column) -> DataFrame:
+    """Whole rows in one column ``row`` beside ``more``: their column names cannot clash with ours."""
+    return rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), *more)
+
+
 def without(rows: DataFrame, dropped: DataFrame, text_col: str, id_col: str) -> DataFrame:
     """``rows`` less those whose ``text_key`` is in ``dropped`` (id, hash, len).
 
     Rows that are certainly not meant stay where they are; only the rest is joined.
     """
-    key, names = text_key(id_col, text_col), ["id", "hash", "len"]
+    held = packed(rows, *text_key(id_col, text_col))
     bits = key_filter(dropped, "hash")
-    certain = in_filter(rows, key[1], bits, passing=False)
-    maybe = in_filter(rows, key[1], bits).withColumn("_key", F.struct(*key))
-    gone = dropped.select(F.struct(*names).alias("_gone")).distinct()
-    same = [maybe["_key"][n].eqNullSafe(gone["_gone"][n]) for n in names]
-    return certain.unionByName(maybe.join(gone, same[0] & same[1] & same[2], "left_anti").select(rows.columns))
+    certain = in_filter(held, F.col("hash"), bits, passing=False)
+    maybe = in_filter(held, F.col("hash"), bits)
+    gone = dropped.select("id", "hash", "len").distinct()
+    same = [maybe[n].eqNullSafe(gone[n]) for n in ("id", "hash", "len")]
+    left = maybe.join(gone, same[0] & same[1] & same[2], "left_anti")
+    return certain.unionByName(left).select("row.*")

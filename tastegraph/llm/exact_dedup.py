@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import attach_left, fold_ascii, in_filter, key_filter
+from tastegraph.llm.common import attach_left, fold_ascii, in_filter, key_filter, packed
 from tastegraph.session import written
 
 BLOCK_ROWS = 1 << 16
@@ -213,14 +213,11 @@ def deduplicate(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     """
     marked = marked_rows(docs, text_col, id_col, owners)
     classes = _classes(docs, marked, text_col).select("sha", F.col("best.id").alias("_best"))
-    rows = docs.withColumn("_sha", _sha(text_col))
+    rows = packed(docs, _sha(text_col).alias("_sha"), F.col(id_col).alias("_id"))
     bits = key_filter(classes.select(_short("sha").alias("key")), "key")
     unique = in_filter(rows, _short("_sha"), bits, passing=False)
     maybe = in_filter(rows, _short("_sha"), bits)
-    stays = (
-        maybe.join(classes, F.col("_sha") == F.col("sha"), "left")
-        .filter(F.col("sha").isNull() | F.col("_best").eqNullSafe(F.col(id_col)))
-    )
+    stays = maybe.join(classes, F.col("_sha") == F.col("sha"), "left").filter(F.col("sha").isNull() | F.col("_best").eqNullSafe(F.col("_id")))
     alone = stays.filter(F.col("sha").isNull())
     best = stays.filter(F.col("sha").isNotNull()).dropDuplicates(["_sha"])
-    return unique.select(docs.columns).unionByName(alone.select(docs.columns)).unionByName(best.select(docs.columns))
+    return unique.select("row.*").unionByName(alone.select("row.*")).unionByName(best.select("row.*"))

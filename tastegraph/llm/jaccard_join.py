@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import in_filter, key_filter, text_key, without
+from tastegraph.llm.common import in_filter, key_filter, packed, text_key, without
 from tastegraph.llm.components import components
 from tastegraph.llm.exact_dedup import _answers, _owners, golomb_encode
 from tastegraph.session import written
@@ -364,12 +364,14 @@ def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
     Rows without an ID stay. Of rows that repeat that ID, one stays.
     """
-    found = similar_documents(docs, text_col, id_col, **options)
-    gone = written(found.filter("component_id <> id").select("id", "hash", "len"))
-    rows = without(docs.withColumn("_id", F.col(id_col).cast("bigint")), gone, text_col, "_id").drop("_id")
-    again = written(found.filter("component_id = id").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"))
-    key = F.xxhash64(F.col(id_col).cast("bigint"))
+    found = written(similar_documents(docs, text_col, id_col, **options))
+    gone = found.filter("component_id <> id").select("id", "hash", "len")
+    again = found.filter("component_id = id").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
+    long_id = F.col(id_col).cast("bigint")
+    held = packed(docs, long_id.alias("_id"), F.col(text_col).alias("_text"))
+    rows = without(held, gone, "_text", "_id")
     bits = key_filter(again.select(F.xxhash64("id").alias("key")), "key")
-    single = in_filter(rows, key, bits, passing=False)
-    maybe = in_filter(rows, key, bits)
-    return single.unionByName(maybe.filter(F.col(id_col).isNull())).unionByName(maybe.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    single = in_filter(rows, F.xxhash64("_id"), bits, passing=False)
+    maybe = in_filter(rows, F.xxhash64("_id"), bits)
+    one = maybe.filter(F.col("_id").isNotNull()).dropDuplicates(["_id"])
+    return single.unionByName(maybe.filter(F.col("_id").isNull())).unionByName(one).select("row.*")

@@ -1,0 +1,32 @@
+"""Small frames with the awkward rows that every operator has to take."""
+
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+CLASHES = ["id", "hash", "len", "row", "sha", "key", "n", "p", "host", "path", "kind", "_bucket", "_id", "_cell", "token", "label"]
+LONG = " ".join(f"word{i % 977} tail{i}" for i in range(15_000))
+
+
+def frame(spark, rows, schema=SCHEMA, clashing=True):
+    """Rows (doc_id, text[, lang, source]) as documents, with extra columns of clashing names."""
+    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", len(r[1] or "")) for r in rows]
+    df = spark.createDataFrame(full, schema)
+    return df.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHES)]) if clashing else df
+
+
+def awkward(spark):
+    return frame(
+        spark,
+        [
+            (1, None, None, None),
+            (2, "", "en", "s"),
+            (3, "  \n\t ", "de", None),
+            (4, LONG, "en", "s"),
+            (5, "Tie one two three four", "en", "s"),
+            (6, "tie one two three four", "en", "s"),
+            (6, "tie one two three four", "en", "s"),
+            (None, "tie one two three four", "fr", "t"),
+            (7, "12 !! ..", "en", "t"),
+            (8, "ünïcödé Ωmega 中文 text é", None, "t"),
+        ],
+    )
