@@ -9,7 +9,7 @@ trained in numpy on the class-prior-corrected risk
 whose negative part may not fall below zero: where it does, the step goes the other way.
 
 Vocabulary: the VOCABULARY features held by most positives; their frequencies in all training
-texts then give the FEATURES that differ most. Statistics cover all training texts. The fit
+texts then give the FEATURES that differ most, by DIFFERENT standard errors at least. Statistics cover all training texts. The fit
 itself uses at most POSITIVES positives and UNLABELLED texts, those with the smallest hashes
 of their IDs (a documented bound; the scores cover every row).
 
@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 
 from tastegraph.llm.common import in_filter, key_filter
 
-VOCABULARY, FEATURES = 30_000, 1_000
+VOCABULARY, FEATURES, BEGINNINGS = 20_000, 1_000, (4, 5, 7)
+# Standard errors between a feature's rates in positives and in all texts to count as different.
+DIFFERENT = 2.0
 POSITIVES, UNLABELLED = 4_000, 16_000
 STEPS, RATE, RIDGE = 300, 0.05, 1e-3
 # Distinct words whose features a task keeps; then it starts anew.
@@ -43,7 +45,7 @@ class Finder:
     """Features of a text: its words, and how many of its distinct words share a beginning.
 
     ``=word`` is a word held; ``beg#n`` says that at least n (1 to 3) distinct words begin with
-    ``beg`` (4 to 8 letters). With ``known``, only those features are looked for.
+    ``beg`` (of a length in BEGINNINGS). With ``known``, only those features are looked for.
     """
 
     def __init__(self, known=None):
@@ -56,7 +58,7 @@ class Finder:
         if found is None:
             if len(self.kept) >= KEPT_WORDS:
                 self.kept.clear()
-            found = ("=" + word, *(word[:n] for n in range(4, min(9, len(word) + 1))))
+            found = ("=" + word, *(word[:n] for n in BEGINNINGS if len(word) >= n))
             if self.stems is not None:
                 found = tuple(f for f in found if f in self.stems)
             if len(word) <= 64:
@@ -186,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, text_col: str =
     in_positive, in_all = np.array([r.n for r in held], float), np.array([counts.get(i, 0) for i in range(len(held))], float)
     a, b = (in_positive + 0.5) / (toxic + 1), (in_all + 0.5) / (total + 1)
     distance = np.abs(a - b) / np.sqrt(a * (1 - a) / (toxic + 1) + b * (1 - b) / (total + 1) + 1e-12)
-    chosen = sorted(np.argsort(-distance, kind="stable")[:FEATURES])
+    chosen = sorted(i for i in np.argsort(-distance, kind="stable")[:FEATURES] if distance[i] >= DIFFERENT)
     features = [vocabulary[i] for i in chosen]
 
     def sample(keys: DataFrame, most: int) -> list[np.ndarray]:
