@@ -90,7 +90,8 @@ def without(rows: DataFrame, dropped: DataFrame, text_col: str, id_col: str) ->
     bits = key_filter(dropped, "hash")
     certain = in_filter(held, F.col("hash"), bits, passing=False)
     maybe = in_filter(held, F.col("hash"), bits)
-    gone = dropped.select("id", "hash", "len").distinct()
+    gone = dropped.select("id", "hash", "len").distinct().withColumn("gone", F.lit(True))
     same = [maybe[n].eqNullSafe(gone[n]) for n in ("id", "hash", "len")]
-    left = maybe.join(gone, same[0] & same[1] & same[2], "left_anti")
-    return certain.unionByName(left).select("row.*")
+    # No anti join: the optimizer would move it below the filter and shuffle every text.
+    left = maybe.join(gone, same[0] & same[1] & same[2], "left").filter(F.col("gone").isNull()).select("row")
+    return certain.select("row").unionByName(left).select("row.*")

@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from tastegraph.session import written
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).head())
+def _is_stars(edges: DataFrame) -> bool:
+    """Does every node that points to a smaller one point to one only, which points nowhere?"""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.agg(F.max((F.col("up") > 1) | (F.col("up") > 0) & (F.col("down") > 0))).head()[0] is not True
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -17,25 +22,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps: every node hands its neighbours over to the
     smallest one it knows, until each component is a star. Minima are aggregated before the
-    shuffle. Each step is written, so a lost executor does not undo the steps before.
+    shuffle. Each round is written, so a lost executor does not undo the rounds before.
     """
     now = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = _state(now)
-    while True:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    while not _is_stars(now):
         # Large star: the larger neighbours of a node go to its minimum.
-        large = (
-            both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        )
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # Small star: the smaller neighbours and the node itself go to its minimum.
-        large = written(large)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         now = written(small.filter("a <> b").distinct())
-        after = _state(now)
-        if after == state:
-            break
-        state = after
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -16,8 +16,12 @@ before a pair is verified. The larger document of a pair probes with its l.
 3. Star rounds: in the postings of a shingle each document is paired with a leader of another
    component, once with the one it shares most with; verified links join components. A group
    of near copies collapses here at a cost linear in its size.
-4. All remaining candidates: pairs of different components with l shared prefix shingles. Every
-   link joins documents of one component or is such a candidate, so the components are exact.
+4. A second exchange, of the whole sets of the documents left, counts how many shingles of each
+   occur elsewhere at all. Shingles of its own can be in no intersection, which bounds the
+   similarity of a pair from above before it is formed.
+5. All remaining candidates: pairs of different components with l shared prefix shingles that
+   this bound admits. Every link joins documents of one component or is such a candidate,
+   so the components are exact.
 
 Rows without an ID are linked with nothing and have no component. Rows that share an ID count as
 one node. Null and empty texts have no shingles; they are linked with nothing.
@@ -40,7 +44,7 @@ from tastegraph.session import written
 
 WORDS, PERCENT = 5, 80
 SKETCH, CHUNK = 1 << 20, 1 << 12
-LEVELS, BLOCK_DOCS = 4, 2048
+LEVELS, BLOCK_DOCS, BLOCK_TOKENS = 4, 2048, 1 << 19
 # Cost of verifying a candidate, in postings read.
 VERIFY_COST = 20.0
 STAR_ROUNDS = 3
@@ -167,6 +171,61 @@ def _prefixes(sketch_sent, words: int, percent: int):
     return run
 
 
+def _whole_sets(words: int):
+    """Blocks of documents with their whole sets: (block, tokens, docs, sizes)."""
+
+    def run(batches):
+        part, number = TaskContext.get().partitionId() << 24, 0
+        docs, sets, held = [], [], 0
+
+        def block():
+            data = [np.concatenate(sets).tobytes(), np.array(docs, np.int64).tobytes(), np.array([len(x) for x in sets], np.int64).tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([part + number], pa.int64()), *[pa.array([d], pa.binary()) for d in data]], ["block", "tokens", "docs", "sizes"])
+
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = shingles(text.as_py(), words)
+                docs.append(doc)
+                sets.append(found)
+                held += len(found)
+                if held >= BLOCK_TOKENS:
+                    number += 1
+                    yield block()
+                    docs, sets, held = [], [], 0
+        if docs:
+            number += 1
+            yield block()
+
+    return run
+
+
+def _shared_sizes(owners: int):
+    """(doc, n, common): how many shingles of a whole set occur in another one too."""
+
+    def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        bits = dict(zip(answers["owner"], answers["bits"]))
+        out = []
+        for b in blocks.itertuples():
+            keep = _flags(np.frombuffer(b.tokens, np.uint64), bits, owners)
+            sizes = np.frombuffer(b.sizes, np.int64)
+            whose = np.repeat(np.arange(len(sizes)), sizes)
+            out.append(pd.DataFrame({"doc": np.frombuffer(b.docs, np.int64), "n": sizes, "common": np.bincount(whose[keep], minlength=len(sizes))}))
+        return pd.concat(out, ignore_index=True)
+
+    return run
+
+
+def _flags(tokens: np.ndarray, bits: dict, owners: int) -> np.ndarray:
+    """Which of a block's tokens the owners have found elsewhere too."""
+    prints, place = np.unique(tokens >> np.uint64(8), return_inverse=True)
+    whose = _owners(prints.astype(np.int64), owners)
+    flags = np.zeros(len(prints), bool)
+    for owner in np.unique(whose):
+        mine = np.flatnonzero(whose == owner)
+        flags[mine] = np.unpackbits(np.frombuffer(bits[owner], np.uint8))[: len(mine)]
+    return flags[place]
+
+
 def _messages(owners: int):
     def run(batches):
         for batch in batches:
@@ -193,13 +252,7 @@ def _shared(owners: int):
         out = []
         for b in blocks.itertuples():
             tokens = np.frombuffer(b.tokens, np.int64)
-            prints, place = np.unique(tokens.view(np.uint64) >> np.uint64(8), return_inverse=True)
-            whose = _owners(prints.astype(np.int64), owners)
-            flags = np.zeros(len(prints), bool)
-            for owner in np.unique(whose):
-                mine = np.flatnonzero(whose == owner)
-                flags[mine] = np.unpackbits(np.frombuffer(bits[owner], np.uint8))[: len(mine)]
-            keep = flags[place]
+            keep = _flags(tokens.view(np.uint64), bits, owners)
             info = np.frombuffer(b.info, np.int32)[keep]
             out.append(
                 pd.DataFrame(
@@ -286,17 +339,31 @@ def _star_pairs(entries: DataFrame, percent: int, turn: int) -> DataFrame:
     return shared.groupBy("x").agg(F.max(F.struct("shared", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
 
 
+def _unsettled(entries: DataFrame) -> DataFrame:
+    """The entries of shingles that documents of several components share."""
+    spans = entries.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    return entries.join(spans.filter("low < high").select("token"), "token")
+
+
+def _exchanged(blocks: DataFrame, owners: int, run, schema: str) -> DataFrame:
+    """Send the blocks' shingles to their owners; ``run`` gets each block with the answers."""
+    blocks = written(blocks)
+    message = "owner long, block long, n long, k long, unary binary, rest binary, twice binary"
+    answers = blocks.select("block", "tokens").mapInArrow(_messages(owners), message).groupBy("owner").applyInPandas(_answers, "block long, owner long, bits binary")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(run, schema)
+
+
 def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Candidates of different components: the larger document probes with its l."""
-    alive = entries.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("token")
-    rows = entries.join(alive, "token").select("token", "doc", "n", "place", "level", "comp")
-    probe = rows.select("token", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"), "level", F.col("comp").alias("cx")).filter("px <= level")
-    index = rows.select("token", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"), F.col("comp").alias("cy"))
+    rows = _unsettled(entries).select("token", "doc", "n", "place", "level", "comp", "common")
+    probe = rows.select("token", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"), "level", F.col("comp").alias("cx"), F.col("common").alias("sx")).filter("px <= level")
+    index = rows.select("token", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"), F.col("comp").alias("cy"), F.col("common").alias("sy"))
     larger = (F.col("nx") > F.col("ny")) | (F.col("nx") == F.col("ny")) & (F.col("x") > F.col("y"))
-    near = 100 * F.col("ny") >= percent * F.col("nx")
+    most = F.least("sx", "sy")
+    near = (100 * F.col("ny") >= percent * F.col("nx")) & (100 * most >= percent * (F.col("nx") + F.col("ny") - most))
     met = probe.join(index, (probe["token"] == index["token"]) & (F.col("cx") != F.col("cy")) & larger & near & (F.col("py") <= F.col("level")))
-    counted = met.groupBy("x", "y").agg(F.countDistinct(probe["token"]).alias("shared"), F.max("level").alias("level"))
-    return counted.filter("shared >= level").select("x", "y")
+    counted = met.groupBy("x", "y", "nx", "ny").agg(F.countDistinct(probe["token"]).alias("shared"), F.min("level").alias("level"))
+    return counted.filter("shared >= level").select("x", "y").distinct()
 
 
 def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", words: int = WORDS, percent: int = PERCENT, owners: int | None = None) -> DataFrame:
@@ -323,15 +390,9 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
     alone = source.filter(F.col("id").isNotNull())
     reps = without(alone, member.filter("id <> rep").select("id", "hash", "len"), "text", "id")
 
-    blocks = written(reps.select("id", "text").mapInArrow(_prefixes(sent, words, percent), "block long, tokens binary, docs binary, sizes binary, info binary"))
-    message = "owner long, block long, n long, k long, unary binary, rest binary, twice binary"
-    answers = blocks.select("block", "tokens").mapInArrow(_messages(owners), message).groupBy("owner").applyInPandas(_answers, "block long, owner long, bits binary")
-    entries = written(
-        blocks.groupBy("block")
-        .cogroup(answers.groupBy("block"))
-        .applyInPandas(_shared(owners), "token long, doc long, n long, place long, level long")
-        .dropDuplicates(["token", "doc"])
-    )
+    blocks = reps.select("id", "text").mapInArrow(_prefixes(sent, words, percent), "block long, tokens binary, docs binary, sizes binary, info binary")
+    kept = _exchanged(blocks, owners, _shared(owners), "token long, doc long, n long, place long, level long")
+    entries = written(kept.dropDuplicates(["token", "doc", "n"]))
     held = written(entries.groupBy("doc").agg(F.count(F.lit(1)).alias("held")))
     comps = _Components(held)
     texts = in_filter(reps, F.xxhash64("id"), key_filter(held.select(F.xxhash64("doc").alias("key")), "key")).select(F.col("id").alias("doc"), "text")
@@ -345,7 +406,11 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
         comps.join(_links(pairs, texts, words, percent))
-    rest = _all_pairs(entries.join(comps.of, "doc"), percent)
+    entries = _unsettled(entries.join(comps.of, "doc"))
+    asked = texts.join(entries.select("doc").distinct(), "doc")
+    whole = _exchanged(asked.select("doc", "text").mapInArrow(_whole_sets(words), "block long, tokens binary, docs binary, sizes binary"), owners, _shared_sizes(owners), "doc long, n long, common long")
+    common = whole.groupBy("doc", "n").agg(F.max("common").alias("common"))
+    rest = _all_pairs(entries.join(common, ["doc", "n"]).filter(100 * F.col("common") >= percent * F.col("n")), percent)
     comps.join(_links(written(rest if tested is None else _untested(rest, tested)), texts, words, percent))
 
     # Documents that share an ID, or are equal, follow their representative; IDs are nodes.
