@@ -9,6 +9,7 @@ and the totals of the blocks before are added from a table with one row per bloc
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -33,7 +34,8 @@ def running_totals(
     """Add, per measure, its sum over the rows before this one in the group's order.
 
     ``block`` must not decrease along ``order`` inside a group, and the order must
-    name a row (tied rows are interchangeable). Group columns must not be NULL.
+    name a row (tied rows are interchangeable). NULL in a group column or as block is a
+    value of its own, so no row is lost.
     """
     group = list(group)
     keys = [*group, "_block"]
@@ -51,9 +53,10 @@ def running_totals(
     inside = blocked
     for name in measures:
         inside = inside.withColumn(f"_i_{name}", F.coalesce(F.sum(f"_m_{name}").over(before_row), F.lit(0)))
-    joined = inside.join(offsets, keys)
-    return joined.select(
-        *df.columns, *[(F.col(f"_i_{n}") + F.col(f"_o_{n}")).alias(n) for n in measures]
+    renamed = offsets.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    same = reduce(lambda a, b: a & b, [inside[k].eqNullSafe(renamed[f"_k{i}"]) for i, k in enumerate(keys)])
+    return inside.join(renamed, same).select(
+        *[inside[c] for c in df.columns], *[(F.col(f"_i_{n}") + F.col(f"_o_{n}")).alias(n) for n in measures]
     )
 
 
@@ -68,7 +71,8 @@ def dense_position(df: DataFrame, keys: Sequence[str], out: str, digits: int = 3
     """0..n-1 over all rows, in the order of the md5 of ``keys``.
 
     The first ``digits`` hexadecimal digits are the block, so rows spread evenly over
-    16**digits sorts whatever the keys are. Use four digits above some 10**10 rows.
+    16**digits sorts whatever the keys are. One digit more for every 16 times the rows
+    keeps a sort at the same size; three serve some 10**9 rows.
     """
     digest = key_digest(*keys)
     return position_in_group(
@@ -81,11 +85,13 @@ def quantile_blocks(df: DataFrame, value: str, out: str = "_q", n_blocks: int =
 
     The cut points (fewer than ``n_blocks`` numbers) are fixed here, so every use of the
     frame and every repeated task sees the same ones; each row is placed by binary search.
+    NaN, which sorts above all numbers, and NULL share the last block.
     """
     number = F.col(value).cast("double")
-    cuts = df.agg(F.percentile_approx(number, [i / n_blocks for i in range(1, n_blocks)], 10 * n_blocks)).first()[0]
+    cuts = df.agg(F.percentile_approx(F.nanvl(number, F.lit(None).cast("double")), [i / n_blocks for i in range(1, n_blocks)], 10 * n_blocks)).first()[0]
     splits = [float("-inf"), *sorted({float(c) for c in cuts or [0.0]}), float("inf")]
-    placed = Bucketizer(splits=splits, inputCol="_value", outputCol=out).transform(df.withColumn("_value", number))
+    bucketizer = Bucketizer(splits=splits, inputCol="_value", outputCol=out, handleInvalid="keep")
+    placed = bucketizer.transform(df.withColumn("_value", F.coalesce(number, F.lit(float("nan")))))
     return placed.drop("_value")
 
 

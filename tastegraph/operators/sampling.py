@@ -19,10 +19,10 @@ from tastegraph.session import written
 from tastegraph.operators.shaping import add_example_id, dense_index, join_partition_label
 
 
-def shuffle_rows(df: DataFrame, keys: Sequence[str], seed: int, out: str = "row_pos") -> DataFrame:
-    """Random order of whole rows, as a dense position to sort by."""
+def shuffle_rows(df: DataFrame, keys: Sequence[str], seed: int, out: str = "row_pos", digits: int = 3) -> DataFrame:
+    """Random order of whole rows, as a dense position to sort by; ``digits`` as in ``dense_position``."""
     digest = key_digest(F.lit(str(seed)), *keys)
-    return position_in_group(df, [], F.substring(digest, 1, 3), [digest, *[F.col(k) for k in keys]], out)
+    return position_in_group(df, [], F.substring(digest, 1, digits), [digest, *[F.col(k) for k in keys]], out)
 
 
 def bernoulli_sample(df: DataFrame, probability: str, keys: Sequence[str], seed: int, out: str = "bought") -> DataFrame:

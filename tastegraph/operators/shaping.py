@@ -14,8 +14,6 @@ from tastegraph.functions.ordering import dense_position, position_in_group
 from tastegraph.functions.unseen import expand_ranges, unseen_ranges
 from tastegraph.session import written
 
-# A pivoted frame has one column per value; more than this many is a modelling error.
-MAX_PIVOT_COLUMNS = 5000
 LOG_SEGMENT = 10_000
 
 
@@ -86,14 +84,14 @@ def fill_concat_text(df: DataFrame, columns: Sequence[str], out: str = "all_prod
     return df.withColumn(out, F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns]))
 
 
-def add_example_id(df: DataFrame, keys: Sequence[str], out: str = "example_id") -> DataFrame:
-    """Dense row number 0..n-1; ``keys`` must name a row."""
-    return dense_position(df, keys, out)
+def add_example_id(df: DataFrame, keys: Sequence[str], out: str = "example_id", digits: int = 3) -> DataFrame:
+    """Dense row number 0..n-1; ``keys`` must name a row. ``digits`` as in ``dense_position``."""
+    return dense_position(df, keys, out, digits)
 
 
-def dense_index(df: DataFrame, column: str, out: str = "idx") -> DataFrame:
+def dense_index(df: DataFrame, column: str, out: str = "idx", digits: int = 3) -> DataFrame:
     """Distinct values of a column with indices 0..n-1 (the lookup both ways)."""
-    return dense_position(df.select(column).filter(F.col(column).isNotNull()).distinct(), [column], out)
+    return dense_position(df.select(column).filter(F.col(column).isNotNull()).distinct(), [column], out, digits)
 
 
 def apply_index(
@@ -109,23 +107,32 @@ def apply_index(
     return joined
 
 
-def one_hot_encode(train: DataFrame, df: DataFrame, columns: Sequence[str], out: str = "one_hot"):
-    """Add a sparse one-hot vector; categories come from ``train``, sorted per column.
-
-    Returns (frame, slot names ``<column>_<category>``). A category that ``train``
-    lacks gets all zeros. Meant for attributes: the category list lives on the driver.
-    """
+def one_hot_encoder(train: DataFrame, columns: Sequence[str], out: str = "one_hot"):
+    """(function that adds the one-hot vector to a frame, slot names), fitted on ``train`` once."""
     indexed = [f"_ix_{c}" for c in columns]
     hot = [f"_oh_{c}" for c in columns]
     indexer = StringIndexer(
         inputCols=list(columns), outputCols=indexed, stringOrderType="alphabetAsc", handleInvalid="keep"
     ).fit(train)
     # "keep" puts unknown values into a last extra slot, which dropLast then removes.
-    coded = indexer.transform(df)
     encoder = OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True).fit(indexer.transform(train))
     names = [f"{c}_{label}" for c, labels in zip(columns, indexer.labelsArray) for label in labels]
-    frame = VectorAssembler(inputCols=hot, outputCol=out).transform(encoder.transform(coded))
-    return frame.drop(*indexed, *hot), names
+
+    def encode(df: DataFrame) -> DataFrame:
+        coded = encoder.transform(indexer.transform(df))
+        return VectorAssembler(inputCols=hot, outputCol=out).transform(coded).drop(*indexed, *hot)
+
+    return encode, names
+
+
+def one_hot_encode(train: DataFrame, df: DataFrame, columns: Sequence[str], out: str = "one_hot"):
+    """Add a sparse one-hot vector; categories come from ``train``, sorted per column.
+
+    Returns (frame, slot names ``<column>_<category>``). A category that ``train``
+    lacks gets all zeros. Meant for attributes: the category list lives on the driver.
+    """
+    encode, names = one_hot_encoder(train, columns, out)
+    return encode(df), names
 
 
 def one_hot_rows(df: DataFrame, key: str, names: Sequence[str], vector: str = "one_hot") -> DataFrame:
@@ -184,9 +191,7 @@ def basket_sets(users: DataFrame, interactions: DataFrame, user: str, item: str,
 def basket_matrix(
     users: DataFrame, interactions: DataFrame, user: str, item: str, items: Sequence, keep: Column, prefix: str = "item_"
 ) -> DataFrame:
-    """User x item 0/1 frame for an explicit list of items."""
-    if len(items) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"{len(items)} items are too many columns; use basket_sets")
+    """User x item 0/1 frame for an explicit list of items, however long."""
     has = [F.max(F.when(F.col(item) == i, 1).otherwise(0)).alias(f"{prefix}{i}") for i in items]
     wide = interactions.filter(keep).groupBy(user).agg(*has)
     return users.select(user).distinct().join(wide, user, "left").fillna(0)

@@ -333,9 +333,10 @@ def als_recommend(t):
 @query("predict_holdout")
 def als_holdout(t):
     parts = written(sampling.split_train_validate_test(_ratings(t), "user_id", ["item_id"], SEED))
-    model = learners.mf_als_fit(parts.filter("model_data_partition = 'train'"), seed=SEED)
+    train = parts.filter("model_data_partition = 'train'")
+    model = learners.mf_als_fit(train, seed=SEED)
     test = parts.filter("model_data_partition = 'test'")
-    return learners.predict_holdout(model, test).select("user_id", "item_id", "rating", "prediction")
+    return learners.predict_holdout(model, test, train).select("user_id", "item_id", "rating", "prediction")
 
 
 def _labelled(t):

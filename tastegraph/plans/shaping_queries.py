@@ -148,14 +148,12 @@ def example_ids(t):
 
 
 _ORDERING_USERS = """SELECT o_custkey AS user_id, row_number() OVER (ORDER BY md5(o_custkey::VARCHAR)) - 1 AS idx
-    FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 400000)"""
+    FROM (SELECT DISTINCT o_custkey FROM orders)"""
 
 
 @query("dense_index", f"SELECT c_custkey AS user_id, coalesce(idx, -1) AS idx FROM customer LEFT JOIN ({_ORDERING_USERS}) ON c_custkey = user_id")
 def indexed(t):
-    fitted = shaping.dense_index(
-        t.orders.filter("o_totalprice > 400000").select(F.col("o_custkey").alias("user_id")), "user_id"
-    )
+    fitted = shaping.dense_index(t.orders.select(F.col("o_custkey").alias("user_id")), "user_id")
     coded = shaping.apply_index(t.customer.select(F.col("c_custkey").alias("user_id")), fitted, "user_id")
     return coded.withColumn("idx", F.coalesce("idx", F.lit(-1)))
 
@@ -438,31 +436,29 @@ def example_rows(t):
 
 _EVENT_DRAW = f"""SELECT user_id, event_id, event_type,
     row_number() OVER (PARTITION BY user_id ORDER BY {unit(SEED, 'user_id', 'event_id')}, event_id) AS rn,
-    count(*) OVER (PARTITION BY user_id) AS n FROM signups"""
-# High-value purchases only, so that users with one or two rows occur.
-_SIGNUPS_SQL = "SELECT * FROM events WHERE event_type = 'purchase' AND value > 80"
+    count(*) OVER (PARTITION BY user_id) AS n FROM events"""
 
 
-def _signups(t):
-    return t.events.filter("event_type = 'purchase' AND value > 80").select("user_id", "event_id", "event_type")
+def _log(t):
+    return t.events.select("user_id", "event_id", "event_type")
 
 
 @query(
     "split_train_validate_test",
-    f"""WITH signups AS ({_SIGNUPS_SQL}), drawn AS ({_EVENT_DRAW})
+    f"""WITH drawn AS ({_EVENT_DRAW})
     SELECT user_id, event_id, event_type, CASE
         WHEN n = 1 THEN CASE WHEN {unit(f'{SEED}-single', 'user_id')} < 0.5 THEN 'test' ELSE 'validate' END
         WHEN rn = 1 THEN 'test' WHEN rn = 2 THEN 'validate' ELSE 'train' END AS model_data_partition FROM drawn""",
 )
 def three_way_split(t):
-    return sampling.split_train_validate_test(_signups(t), "user_id", ["event_id"], SEED)
+    return sampling.split_train_validate_test(_log(t), "user_id", ["event_id"], SEED)
 
 
 @query(
     "split_leave_one_out",
-    f"""WITH signups AS ({_SIGNUPS_SQL}), drawn AS ({_EVENT_DRAW})
+    f"""WITH drawn AS ({_EVENT_DRAW})
     SELECT user_id, event_id, event_type, CASE WHEN n > 1 AND rn = 1 THEN 'validate' ELSE 'train' END
     AS model_data_partition FROM drawn""",
 )
 def leave_one_out(t):
-    return sampling.split_leave_one_out(_signups(t), "user_id", ["event_id"], SEED)
+    return sampling.split_leave_one_out(_log(t), "user_id", ["event_id"], SEED)

@@ -81,8 +81,9 @@ def test_baskets_keep_users_without_items(spark, rows):
     assert rows(sets) == [(1, ["a", "b"]), (2, [])]
     matrix = shaping.basket_matrix(users, bought, "u", "i", ["a", "b", "c"], F.col("ok") == 1)
     assert rows(matrix) == [(1, 1, 1, 0), (2, 0, 0, 0)]
-    with pytest.raises(ValueError):
-        shaping.basket_matrix(users, bought, "u", "i", range(shaping.MAX_PIVOT_COLUMNS + 1), F.lit(True))
+    numbers = bought.withColumn("i", F.col("ok") + 1)
+    many = shaping.basket_matrix(users, numbers, "u", "i", range(5001), F.lit(True))
+    assert len(many.columns) == 5002 and many.filter("u = 1").select("item_2", "item_5000").first() == (1, 0)
 
 
 def test_flags_labels_and_inactive_users(spark, rows):
@@ -106,3 +107,9 @@ def test_grid_lookup_and_response_rate(spark, rows):
 
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_numbering_keeps_rows_without_user_or_date(spark):
+    df = spark.createDataFrame([(1, "2024-01-01", 1), (None, "2024-01-01", 2), (1, None, 3), (None, None, 4)], "u int, d string, k int")
+    got = shaping.number_transactions(df, "u", ["d", "k"], F.col("d"))
+    assert sorted((r.k, r.transaction_num) for r in got.collect()) == [(1, 2), (2, 2), (3, 1), (4, 1)]
