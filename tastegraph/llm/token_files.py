@@ -64,10 +64,10 @@ class PieceEncoder:
         if len(kept) > KEPT_PIECES:
             kept.clear()
         split = [text.split() if not _ODD.search(text) else [p for p in _SPACE.split(text) if p] for text in texts]
-        new: set[str] = set()
+        every: set[str] = set()
         for pieces in split:
-            new.update(pieces)
-        new.difference_update(kept)
+            every.update(pieces)
+        new = {p for p in every if p not in kept}
         # A word and its closing mark are apart for the tokenizer, and case is folded: most new
         # pieces are known words in another form.
         formed = {p: (m[1].lower(), m[2]) for p in new if (m := _FORMED.fullmatch(p))}
@@ -75,8 +75,7 @@ class PieceEncoder:
         for parts in formed.values():
             wanted.update(parts)
         wanted.discard("")
-        wanted.difference_update(kept)
-        asked = list(wanted)
+        asked = [p for p in wanted if p not in kept]
         for a in range(0, len(asked), 20_000):
             part = asked[a : a + 20_000]
             for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
@@ -89,8 +88,8 @@ class PieceEncoder:
         return out
 
 
-# Letters of ASCII and at most one mark, which no splitting rule joins with letters.
-_FORMED = re.compile("([A-Za-z]+)([.,;:!?]?)")
+# Latin letters and then marks, which no splitting rule joins (an apostrophe might).
+_FORMED = re.compile(r"([A-Za-zÀ-ÖØ-öø-\u012fĲ-\u024f]+)([!\"#$%&()*+,\-./:;=?@\[\]^`{}~]{0,4})")
 _ODD = re.compile("[\x1c-\x1f]")
 _encoders: dict[tuple, PieceEncoder] = {}
 
