@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings the operators are written for. Join skew (one user or item holding a
 # large share of the rows) is split at run time by AQE; the force flag lets it do
 # so where the split costs one more shuffle further up.
-RECOMMENDED_CONF = {
+SKEW_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+RECOMMENDED_CONF = {
+    **SKEW_CONF,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -57,22 +60,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver remove a derived table when it ends; frames read from it until then."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set the run-time settings that the operators' joins rely on, on a session from elsewhere."""
+    for key, value in SKEW_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read on from there.
 
     For a frame that a plan reads several times: it is computed once, survives lost
-    executors, and readers still get column pruning and its true size.
+    executors, and readers still get column pruning and its true size. The table goes when the
+    driver ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    drop_at_exit(spark, path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a frame out by ``key`` if it is read from fewer files than there are cores.
-
-    For work that is heavy per row, such as cutting texts into words, on a small table. A
-    large table has more files than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tastegraph.session import prepare
+
 PRODUCT_SCHEMA = StructType(
     [
         StructField("title", StringType()),
@@ -38,7 +40,7 @@ class Tables:
     """Attribute access to the parquet tables of a folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark = prepare(spark)
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
