@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastegraph.functions.ordering import BLOCK, position_in_group
+
 # A preference score counts towards a maximum of 10 per attribute,
 # scores themselves are 0..9.
 MAX_SCORE_PER_ATTRIBUTE = 10
@@ -48,9 +50,10 @@ def apply_context_mods(
     mod_seq, attr, val, delta), context(user_id, ctx_seq, ctx_cat, ctx_val).
 
     Scores are few whole numbers, so a run of modifiers is a lookup table from the score
-    before to the score after. Runs of FOLD_CHUNK modifiers become such tables in
+    before to the score after. The modifiers of a preference are cut by their place in the
+    order into runs of FOLD_CHUNK; where there are several, they become such tables in
     parallel and are then chained, which keeps a heavily modified preference from being
-    one long list in one task.
+    one long list in one task. A single run is applied as it is.
     """
     least = min(score_range[0], int(lo))
     most = max(score_range[1], int(hi))
@@ -60,23 +63,27 @@ def apply_context_mods(
         return F.when((moved >= F.lit(lo)) & (moved <= F.lit(hi)), moved).otherwise(score)
 
     active = mods.join(context, ["user_id", "ctx_cat", "ctx_val"]).select(
-        "user_id", "attr", "val", "ctx_seq", "mod_seq", F.col("delta").cast("int").alias("delta"),
-        F.floor(F.col("mod_seq") / FOLD_CHUNK).alias("_chunk"),
-    )
-    every_score = F.sequence(F.lit(least), F.lit(most))
-    runs = active.groupBy("user_id", "attr", "val", "ctx_seq", "_chunk").agg(
-        F.array_sort(F.collect_list(F.struct("mod_seq", "delta"))).alias("_run")
+        "user_id", "attr", "val", "ctx_seq", "mod_seq", F.col("delta").cast("int").alias("delta")
     )
-    tables = runs.withColumn(
-        "_table",
-        F.aggregate("_run", every_score, lambda table, mod: F.transform(table, lambda s: step(s, mod["delta"]))),
-    )
-    chains = tables.groupBy("user_id", "attr", "val").agg(
-        F.array_sort(F.collect_list(F.struct("ctx_seq", "_chunk", "_table"))).alias("_chain")
-    )
-    adjusted = F.aggregate(
-        "_chain", F.col("score").cast("int"), lambda s, run: F.element_at(run["_table"], s - F.lit(least - 1))
+    group = ["user_id", "attr", "val"]
+    order = [F.col("ctx_seq"), F.col("mod_seq"), F.col("delta")]
+    placed = position_in_group(active, group, F.struct("ctx_seq", F.floor(F.col("mod_seq") / BLOCK)), order, "_at")
+    runs = placed.groupBy(*group, F.floor(F.col("_at") / FOLD_CHUNK).alias("_chunk")).agg(
+        F.array_sort(F.collect_list(F.struct("_at", "delta"))).alias("_run")
     )
+    every_score = F.sequence(F.lit(least), F.lit(most))
+    table = F.aggregate("_run", every_score, lambda t, mod: F.transform(t, lambda s: step(s, mod["delta"])))
+    full = F.size("_run") == FOLD_CHUNK
+    links = runs.select(*group, "_chunk", F.when(~full, F.col("_run")).alias("_run"), F.when(full, table).alias("_table"))
+    chains = links.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_chunk", "_run", "_table"))).alias("_chain"))
+
+    def follow(score: Column, run: Column) -> Column:
+        looked_up = F.element_at(run["_table"], score - F.lit(least - 1))
+        return F.when(run["_run"].isNull(), looked_up).otherwise(
+            F.aggregate(run["_run"], score, lambda s, mod: step(s, mod["delta"]))
+        )
+
+    adjusted = F.aggregate("_chain", F.col("score").cast("int"), follow)
     return prefs.join(chains, ["user_id", "attr", "val"], "left").select(
         *prefs.columns,
         F.when(F.col("_chain").isNull(), F.col("score").cast("int")).otherwise(adjusted).alias("adj_score"),

@@ -32,9 +32,9 @@ def association_rules(itemsets: DataFrame, metric: str = "lift", threshold: floa
     members, as the miner's output does; their number depends on the support threshold
     and the catalogue, not on the number of baskets.
     """
-    full = F.pow(F.lit(2), F.size("items")).cast("int")
+    full = F.pow(F.lit(2), F.size("items")).cast("bigint")
     splits = itemsets.filter(F.size("items") > 1).select(
-        "items", "freq", "n_baskets", F.explode(F.sequence(F.lit(1), full - 2)).alias("_mask")
+        "items", "freq", "n_baskets", F.explode(F.sequence(F.lit(1).cast("bigint"), full - 2)).alias("_mask")
     )
 
     def side(chosen: int) -> Column:
@@ -135,19 +135,17 @@ def rule_recommend(rules: DataFrame, baskets: DataFrame, basket: str, k: int = 3
     k + 2**(|B|-|A|) - 1 rules of A can be among B's best, and the others are dropped
     before ranking without changing the result.
     """
-    # The rule table is bounded by the support threshold, so numbering it in one task is.
-    strongest = Window.orderBy(F.col("lift").desc(), "antecedents", "consequents")
-    numbered = _by_rarest_item(rules).withColumn("_no", F.row_number().over(strongest))
-    numbered = numbered.withColumn("_place", F.row_number().over(Window.partitionBy("antecedents").orderBy("_no")))
-    numbered = written(numbered)
-    keys = numbered.select("_no", "_place", "_match", "antecedents", "consequents")
+    strongest = [F.col("lift").desc(), F.col("antecedents"), F.col("consequents")]
+    place = F.row_number().over(Window.partitionBy("antecedents").orderBy(*strongest))
+    placed = written(_by_rarest_item(rules).withColumn("_place", place))
+    keys = placed.select("lift", "_place", "_match", "antecedents", "consequents")
     contents = _contents(baskets)
     spare = F.size("items") - F.size("antecedents")
     reachable = F.col("_place") <= F.lit(k) + F.pow(F.lit(2.0), F.least(spare, F.lit(60))) - 1
-    pairs = _match(contents, keys, reachable).select("content_id", "_no")
-    best = first_k(pairs, ["content_id"], [F.col("_no")], k, "rule_rank")
+    pairs = _match(contents, keys, reachable).select("content_id", "lift", "antecedents", "consequents")
+    best = first_k(pairs, ["content_id"], strongest, k, "rule_rank").drop("lift")
     chosen = (
-        best.join(numbered.drop("_place", "_match"), "_no")
+        best.join(placed.drop("_place", "_match"), ["antecedents", "consequents"])
         .join(contents, "content_id")
         .select(
             "items", "rule_rank", "antecedents", "consequents", "antecedent_count", "both_count", "confidence", "lift",
