@@ -36,6 +36,10 @@ HEADLINE = [
     "auc",
     "rank_agreement",
     "histogram",
+    "user_user_cf",
+    "interaction_classifier",
+    "lsi_similar_topk",
+    "lda_similar_topk",
 ]
 
 
