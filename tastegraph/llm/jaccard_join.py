@@ -254,11 +254,14 @@ def _shared(owners: int):
             tokens = np.frombuffer(b.tokens, np.int64)
             keep = _flags(tokens.view(np.uint64), bits, owners)
             info = np.frombuffer(b.info, np.int32)[keep]
+            docs = np.frombuffer(b.docs, np.int64)[keep]
+            _, own, counts = np.unique(docs, return_inverse=True, return_counts=True)
             out.append(
                 pd.DataFrame(
                     {
                         "token": tokens[keep],
-                        "doc": np.frombuffer(b.docs, np.int64)[keep],
+                        "doc": docs,
+                        "held": counts[own],
                         "n": np.frombuffer(b.sizes, np.int32)[keep].astype(np.int64),
                         "place": info >> 3,
                         "level": info & 7,
@@ -292,10 +295,15 @@ def _verified(words: int, percent: int):
     return run
 
 
+def _of_docs(texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows (doc, text) of these documents, and a few others; nothing is shuffled."""
+    return in_filter(texts, F.xxhash64("doc"), key_filter(docs.select(F.xxhash64("doc").alias("key")), "key"))
+
+
 def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (x, y) whose texts are similar, as (a, b)."""
-    one = texts.select(F.col("doc").alias("x"), F.col("text").alias("text_x"))
-    other = texts.select(F.col("doc").alias("y"), F.col("text").alias("text_y"))
+    one = _of_docs(texts, pairs.select(F.col("x").alias("doc"))).select(F.col("doc").alias("x"), F.col("text").alias("text_x"))
+    other = _of_docs(texts, pairs.select(F.col("y").alias("doc"))).select(F.col("doc").alias("y"), F.col("text").alias("text_y"))
     rows = pairs.select("x", "y").join(one, "x").join(other, "y").select("x", "y", "text_x", "text_y")
     return written(rows.mapInArrow(_verified(words, percent), "a long, b long").distinct())
 
@@ -355,7 +363,7 @@ def _exchanged(blocks: DataFrame, owners: int, run, schema: str) -> DataFrame:
 
 def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Candidates of different components: the larger document probes with its l."""
-    rows = _unsettled(entries).select("token", "doc", "n", "place", "level", "comp", "common")
+    rows = entries.select("token", "doc", "n", "place", "level", "comp", "common")
     probe = rows.select("token", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"), "level", F.col("comp").alias("cx"), F.col("common").alias("sx")).filter("px <= level")
     index = rows.select("token", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"), F.col("comp").alias("cy"), F.col("common").alias("sy"))
     larger = (F.col("nx") > F.col("ny")) | (F.col("nx") == F.col("ny")) & (F.col("x") > F.col("y"))
@@ -391,23 +399,22 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
     reps = without(alone, member.filter("id <> rep").select("id", "hash", "len"), "text", "id")
 
     blocks = reps.select("id", "text").mapInArrow(_prefixes(sent, words, percent), "block long, tokens binary, docs binary, sizes binary, info binary")
-    kept = _exchanged(blocks, owners, _shared(owners), "token long, doc long, n long, place long, level long")
-    entries = written(kept.dropDuplicates(["token", "doc", "n"]))
-    held = written(entries.groupBy("doc").agg(F.count(F.lit(1)).alias("held")))
-    comps = _Components(held)
-    texts = in_filter(reps, F.xxhash64("id"), key_filter(held.select(F.xxhash64("doc").alias("key")), "key")).select(F.col("id").alias("doc"), "text")
-    texts = written(texts.join(held.select("doc"), "doc").dropDuplicates(["doc", "text"]))
-    entries = written(entries.join(held, "doc"))
+    kept = _exchanged(blocks, owners, _shared(owners), "token long, doc long, held long, n long, place long, level long")
+    entries = written(kept).withColumn("comp", F.col("doc"))
+    alive = written(entries.select("doc").distinct())
+    comps = _Components(alive)
+    texts = written(_of_docs(reps.select(F.col("id").alias("doc"), "text"), alive))
     tested = None
     for turn in range(STAR_ROUNDS):
-        pairs = _star_pairs(entries.join(comps.of, "doc"), percent, turn)
+        pairs = _star_pairs(entries, percent, turn)
         pairs = written(pairs if tested is None else _untested(pairs, tested))
         if pairs.isEmpty():
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
         comps.join(_links(pairs, texts, words, percent))
-    entries = _unsettled(entries.join(comps.of, "doc"))
-    asked = texts.join(entries.select("doc").distinct(), "doc")
+        # Shingles whose documents are all of one component have no more to say.
+        entries = written(_unsettled(entries.drop("comp").join(comps.of, "doc")))
+    asked = _of_docs(texts, entries.select("doc").distinct())
     whole = _exchanged(asked.select("doc", "text").mapInArrow(_whole_sets(words), "block long, tokens binary, docs binary, sizes binary"), owners, _shared_sizes(owners), "doc long, n long, common long")
     common = whole.groupBy("doc", "n").agg(F.max("common").alias("common"))
     rest = _all_pairs(entries.join(common, ["doc", "n"]).filter(100 * F.col("common") >= percent * F.col("n")), percent)
