@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tastegraph.llm import bpe_automaton, exact_dedup, jaccard_join, mixing, quality
 from tastegraph.llm.common import table
-from tastegraph.llm.queries import MIX_POWERS, mix_margins, tokenizer_definition
+from tastegraph.llm.queries import MIX_BUDGET, MIX_POWERS, mix_margins, tokenizer_definition
 from tastegraph.session import written
 
 
@@ -31,8 +31,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sample toward the target shares of sources, languages and topics."""
-    return mixing.mix(docs, mix_margins(), MIX_POWERS)
+    """Sample MIX_BUDGET of the tokens toward the target shares of sources, languages and topics."""
+    return mixing.mix(docs, mix_margins(), MIX_POWERS, budget=MIX_BUDGET)
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,8 @@ def op2_language_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 # Targets of the mixture: each margin's present tokens to this power.
 MIX_POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.5}
+# Share of the present tokens that the pipeline's mixture keeps.
+MIX_BUDGET = 0.5
 
 
 def mix_margins() -> dict:

@@ -62,3 +62,32 @@ def test_awkward_rows(spark):
     assert {r.kept for r in got if r.tokens == 0 and r.probability == 1.0} <= {True}
     assert mixing.mix_report(frame(spark, []), margins(), POWERS).count() == 0
     assert mixing.mix(frame(spark, []), margins(), POWERS).count() == 0
+
+
+def test_one_rare_row_leaves_the_other_rates(spark):
+    """With a budget a single document of a new source and no language takes little from the rest."""
+    docs = corpus(spark)
+    more = docs.unionByName(frame(spark, [(1000, "w " * 10, None, "rare")]))
+    before, after = ({r._cell: r for r in mixing.probabilities(d, margins(), POWERS, budget=0.5).collect()} for d in (docs, more))
+    assert len(after) == len(before) + 1
+    for found in (before, after):
+        total = sum(r.tokens for r in found.values())
+        assert abs(sum(r.tokens * r.probability for r in found.values()) - total / 2) < 1e-6 * total
+        assert max(r.probability for r in found.values()) == 1.0
+    old = {r._cell: r.probability for r in mixing.probabilities(more, margins(), POWERS).collect()}
+    common = max(before, key=lambda c: before[c].tokens)
+    assert old[common] < 0.5 * after[common].probability
+    moved = sum(r.tokens * abs(after[c].probability - r.probability) for c, r in before.items())
+    assert moved < 0.1 * sum(r.tokens for r in before.values())
+
+
+def test_shortfall_names_the_saturated_cells(spark):
+    docs = corpus(spark)
+    cells = mixing.written(mixing.probabilities(docs, margins(), POWERS, budget=0.9))
+    short = {r.cell: r for r in mixing.shortfall(cells).collect()}
+    held = {r._cell: r for r in cells.collect()}
+    assert short and set(short) == {c for c, r in held.items() if r.wanted > 1}
+    assert all(r.short > 0 and held[c].probability == 1.0 and abs(r.wanted - r.short - r.tokens) < 1e-6 for c, r in short.items())
+    assert {r.probability for r in mixing.probabilities(docs, margins(), POWERS, budget=1.0).collect()} == {1.0}
+    assert mixing.mix(frame(spark, []), margins(), POWERS, budget=0.5).count() == 0
+    assert mixing.mix(docs, margins(), POWERS, budget=1.0).count() == docs.count()
