@@ -8,9 +8,10 @@ trained in numpy on the class-prior-corrected risk
 
 whose negative part may not fall below zero: where it does, the step goes the other way.
 
-Vocabulary: the VOCABULARY features held by most positives; their frequencies in all training
-texts then give the FEATURES that differ most, by DIFFERENT standard errors at least. Statistics cover all training texts. The fit
-itself uses at most POSITIVES positives and UNLABELLED texts, those with the smallest hashes
+Vocabulary: every feature of the positives is counted in them and in all training texts; the
+FEATURES whose rates differ most are taken, by DIFFERENT standard errors at least. There is no
+frequency cut. Words and beginnings that no positive holds are passed over by a filter of fixed
+size, and tasks count before the shuffle. The fit itself uses at most POSITIVES positives and UNLABELLED texts, those with the smallest hashes
 of their IDs (a documented bound; the scores cover every row).
 
 A null text counts as empty and gets the classifier's intercept. Labels that are null are no
@@ -22,22 +23,28 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import in_filter, key_filter
+from tastegraph.llm.common import FILTER_BITS, in_filter, key_filter
+from tastegraph.session import written
 
-VOCABULARY, FEATURES, BEGINNINGS = 20_000, 1_000, (4, 5, 7)
+FEATURES, BEGINNINGS = 1_000, (4, 5, 6, 7, 8)
 # Standard errors between a feature's rates in positives and in all texts to count as different.
 DIFFERENT = 2.0
 POSITIVES, UNLABELLED = 4_000, 16_000
 STEPS, RATE, RIDGE = 300, 0.05, 1e-3
 # Distinct words whose features a task keeps; then it starts anew.
 KEPT_WORDS = 200_000
+# Distinct features that a task counts before it hands its counts on.
+COUNTED_FEATURES = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -45,10 +52,12 @@ class Finder:
     """Features of a text: its words, and how many of its distinct words share a beginning.
 
     ``=word`` is a word held; ``beg#n`` says that at least n (1 to 3) distinct words begin with
-    ``beg`` (of a length in BEGINNINGS). With ``known``, only those features are looked for.
+    ``beg`` (of a length in BEGINNINGS). With ``known``, only those features are looked for; with
+    ``among``, those that ``stem_bits`` may mean.
     """
 
-    def __init__(self, known=None):
+    def __init__(self, known=None, among: bytes | None = None):
+        self.among = among
         self.known = None if known is None else frozenset(known)
         self.stems = None if known is None else {f if f[0] == "=" else f[:-2] for f in known}
         self.kept: dict[str, tuple] = {}
@@ -61,17 +70,24 @@ class Finder:
             found = ("=" + word, *(word[:n] for n in BEGINNINGS if len(word) >= n))
             if self.stems is not None:
                 found = tuple(f for f in found if f in self.stems)
+            if self.among is not None:
+                found = tuple(f for f in found if self._may_be(f))
             if len(word) <= 64:
                 self.kept[word] = found
         return found
 
+    def _may_be(self, stem: str) -> bool:
+        # Bit 0 of key_filter has no place of its own: it passes.
+        place = zlib.crc32(stem.encode()) % FILTER_BITS - 1
+        return place < 0 or bool(self.among[place >> 3] >> (place & 7) & 1)
+
+    def stems_of(self, text: str | None) -> Counter:
+        """Words (``=word``) and beginnings of a text, each with how many distinct words have it."""
+        words = set(_WORD.findall(text.lower())) if text else ()
+        return Counter(chain.from_iterable([self._of_word(word) for word in words]))
+
     def __call__(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        counts: dict[str, int] = {}
-        for word in set(_WORD.findall(text.lower())):
-            for f in self._of_word(word):
-                counts[f] = counts.get(f, 0) + 1
+        counts = self.stems_of(text)
         out = [f for f in counts if f[0] == "="]
         out += [f"{f}#{n}" for f, c in counts.items() if f[0] != "=" for n in range(1, min(c, 3) + 1)]
         return sorted(out if self.known is None else self.known.intersection(out))
@@ -124,42 +140,69 @@ def nnpu_fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int
     return theta[:size], float(theta[size])
 
 
-def _feature_counts(texts: DataFrame) -> DataFrame:
+def stem_bits(features: DataFrame) -> bytes:
+    """Words and beginnings of ``features`` folded into FILTER_BITS bits (8 MB), whatever their number."""
+    name = F.col("feature")
+    stem = F.when(name.startswith("="), name).otherwise(F.expr("left(feature, length(feature) - 2)"))
+    bits = bytearray(FILTER_BITS >> 3)
+    for row in key_filter(features.select(F.crc32(stem.cast("binary")).alias("key")), "key").collect():
+        if row["_bucket"] > 0:
+            start = (row["_bucket"] - 1) * 4096
+            bits[start : start + 4096] = row["_bitmap"]
+    return bytes(bits)
+
+
+def _feature_counts(texts: DataFrame, among: bytes | None = None) -> DataFrame:
+    """(feature, n): how many texts hold each feature, or each that may be ``among`` (``stem_bits``)."""
+    sent = texts.sparkSession.sparkContext.broadcast(among)
+
     def run(batches):
-        finder = Finder()
+        finder = Finder(among=sent.value)
+        held = [Counter(), Counter(), Counter()]  # texts with at least 1, 2, 3 words of a stem
+
+        def counted():
+            for n, counts in enumerate(held, 1):
+                names = [f if f[0] == "=" else f"{f}#{n}" for f in counts]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(list(counts.values()), pa.int64())], ["feature", "n"])
+                counts.clear()
+
         for batch in batches:
-            for a in range(0, batch.num_rows, 200):
-                found = [f for text in batch.column(0).slice(a, 200).to_pylist() for f in finder(text)]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["feature"])
+            for text in batch.column(0):
+                stems = finder.stems_of(text.as_py())
+                held[0].update(stems.keys())
+                held[1].update([f for f, c in stems.items() if c > 1])
+                held[2].update([f for f, c in stems.items() if c > 2])
+                if len(held[0]) >= COUNTED_FEATURES:
+                    yield from counted()
+        yield from counted()
 
-    return texts.mapInArrow(run, "feature string").groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+    return texts.mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
-def _numbered(texts: DataFrame, vocabulary: list[str], totals: bool) -> DataFrame:
-    """Feature numbers of every text, or (``totals``) how many texts of a task hold each word."""
+def _numbered(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """Feature numbers of every text."""
     sent = texts.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
 
     def run(batches):
         place = sent.value
         finder = Finder(place)
-        counts, n = np.zeros(len(place), np.int64), 0
         for batch in batches:
             found = [[place[f] for f in finder(text)] for text in batch.column(0).to_pylist()]
-            if totals:
-                n += len(found)
-                for f in found:
-                    counts[f] += 1
-            else:
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["features"])
-        if totals:
-            numbers = np.append(np.flatnonzero(counts), -1)
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(np.append(counts[numbers[:-1]], n), pa.int64())], ["feature", "n"])
-
-    if totals:
-        return texts.mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["features"])
+
     return texts.mapInArrow(run, "features array<int>")
 
 
+def choose_features(in_positive: DataFrame, in_all: DataFrame, toxic: int, total: int) -> list[str]:
+    """The FEATURES of ``in_positive`` whose rates differ most from ``in_all`` (feature, n), in standard errors."""
+    both = in_positive.select("feature", F.col("n").alias("p")).join(in_all, "feature", "left")
+    a, b = (F.col("p") + 0.5) / (toxic + 1), (F.coalesce("n", F.lit(0)) + 0.5) / (total + 1)
+    # A positive held by several rows may give rates above 1.
+    spread = F.greatest(a * (1 - a), F.lit(0.0)) / (toxic + 1) + F.greatest(b * (1 - b), F.lit(0.0)) / (total + 1) + 1e-12
+    rated = both.select("feature", (F.abs(a - b) / F.sqrt(spread)).alias("distance")).filter(F.col("distance") >= DIFFERENT)
+    return sorted(r.feature for r in rated.orderBy(F.desc("distance"), "feature").limit(FEATURES).collect())
+
+
 def _texts_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Texts of the rows with these IDs (``key``, distinct); only those texts are shuffled."""
     hashed = ids.select("key", F.xxhash64("key").alias("hash"))
@@ -181,19 +224,12 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, text_col: str =
         return Model(prior, {}, float(np.log(prior / (1 - prior))))
     positive = own.filter("label = 1").select("key")
     rows = docs.filter(training)
-    held = _feature_counts(_texts_of(rows, positive, id_col, text_col)).orderBy(F.desc("n"), "feature").limit(VOCABULARY).collect()
-    vocabulary = [r.feature for r in held]
-    counts = {r.feature: r.n for r in _numbered(rows.select(text_col), vocabulary, totals=True).collect()}
-    total = max(1, counts.pop(-1, 1))
-    in_positive, in_all = np.array([r.n for r in held], float), np.array([counts.get(i, 0) for i in range(len(held))], float)
-    a, b = (in_positive + 0.5) / (toxic + 1), (in_all + 0.5) / (total + 1)
-    distance = np.abs(a - b) / np.sqrt(a * (1 - a) / (toxic + 1) + b * (1 - b) / (total + 1) + 1e-12)
-    chosen = sorted(i for i in np.argsort(-distance, kind="stable")[:FEATURES] if distance[i] >= DIFFERENT)
-    features = [vocabulary[i] for i in chosen]
+    held = written(_feature_counts(_texts_of(rows, positive, id_col, text_col)))
+    features = choose_features(held, _feature_counts(rows.select(text_col), stem_bits(held)), toxic, rows.count())
 
     def sample(keys: DataFrame, most: int) -> list[np.ndarray]:
         some = keys.distinct().orderBy(F.xxhash64("key"), "key").limit(most)
-        found = _numbered(_texts_of(rows, some, id_col, text_col), features, totals=False).collect()
+        found = _numbered(_texts_of(rows, some, id_col, text_col), features).collect()
         return [np.array(r.features, np.int64) for r in found]
 
     known = rows.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("key"))

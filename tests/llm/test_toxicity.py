@@ -61,3 +61,29 @@ def test_risk_does_not_go_below_zero():
     unlabelled = [np.array([0])] * 20 + [np.array([1])] * 180
     weights, intercept = toxicity.nnpu_fit(positive, unlabelled, 2, 0.1)
     assert weights[0] + intercept > 0 > weights[1] + intercept
+
+
+def test_rare_toxic_words_are_not_pushed_out(spark):
+    """Over 20,000 neutral features that every text holds, and a toxic word that 4 of 10 positives hold."""
+    rng = random.Random(4)
+    neutral = " ".join({"".join(rng.choice("abcdefghijklmnop") for _ in range(8)) for _ in range(6000)})
+    rows = [(i, neutral + (" zzfoul" if i < 4 else "")) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i < 10), 1, 0, 0) for i in range(60)], LABELS)
+    model = toxicity.train(frame(spark, rows), labels, F.lit(True))
+    assert model.weights["=zzfoul"] > 0 and {"zzfo#1", "zzfou#1", "zzfoul#1"} <= set(model.weights)
+    assert max(len(w) for w in model.weights) <= len("=zzfoul") + 1
+
+
+def test_counts_cover_every_text(spark):
+    texts = [None, "", "Abcdefgh abcdefgh abcdxyz", "abcdq", "abcdefgh"]
+    got = {r.feature: r.n for r in toxicity._feature_counts(frame(spark, list(enumerate(texts))).select("text")).collect()}
+    want = {}
+    for text in texts:
+        for f in toxicity.Finder()(text):
+            want[f] = want.get(f, 0) + 1
+    assert got == want and got["abcd#1"] == 3 and got["abcd#2"] == 1
+    held = toxicity._feature_counts(frame(spark, [(0, "Abcdefgh zz \u00fcml\u00e4ut")]).select("text"))
+    some = {r.feature: r.n for r in toxicity._feature_counts(frame(spark, list(enumerate(texts))).select("text"), toxicity.stem_bits(held)).collect()}
+    assert {"=abcdefgh": 2, "abcd#1": 3, "abcd#2": 1, "abcdefgh#1": 2}.items() <= some.items() and all(want[f] == n for f, n in some.items())
+    finder = toxicity.Finder(among=toxicity.stem_bits(held))
+    assert all(finder._may_be(s) for s in ("=abcdefgh", "abcd", "abcdefgh", "=zz", "=\u00fcml\u00e4ut", "\u00fcml\u00e4u")) and not finder._may_be("=other")
