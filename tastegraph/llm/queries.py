@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe_automaton, exact_dedup, jaccard_join, language_mix, mixing, quality, secrets, token_files, topk_blocks, toxicity
+from tastegraph.llm import bpe_automaton, exact_dedup, jaccard_join, language_mix, mixing, quality, secrets, token_files, topk_blocks, toxicity, url_filter
 from tastegraph.llm.common import crc32_mod, table
 from tastegraph.session import shared_folder
 
@@ -82,6 +82,22 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_ids(spark, path, digests_only=True).withColumnRenamed("id", "doc_id")
 
 
+# The rules of the contract (host, path, verdict).
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    listed = F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in URL_RULES])
+    rules = spark.range(1).select(F.inline(listed))
+    return url_filter.verdicts(table(spark, folder, "pages"), rules)
+
+
 QUERIES = {
     "op1_topk_blocks": op1_topk_blocks,
     "op8_quality": op8_quality,
@@ -93,6 +109,7 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op7_bpe_automaton": op7_bpe_automaton,
+    "op11_url_filter": op11_url_filter,
 }
 
 def _secrets_sql() -> str:
@@ -198,6 +215,18 @@ ORACLES: dict[str, str] = {
     """,
     "op9_secrets": _secrets_sql(),
     "op3_mixing": _mixing_sql(),
+    "op11_url_filter": f"""
+        WITH u AS (SELECT row_number() OVER () AS no, page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+        p AS (
+            SELECT no, page_id, {NORMAL.replace("text", "regexp_extract(rest, '^[^/?#]*')")} AS host,
+                   coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+        r(rule_host, rule_path, verdict) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+        j AS (
+            SELECT no, page_id, host, path, rule_host || rule_path AS rule, r.verdict
+            FROM p LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            QUALIFY row_number() OVER (PARTITION BY no ORDER BY length(rule) DESC NULLS LAST, length(rule_host) DESC) = 1)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM j
+    """,
     "op4_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {NORMAL} AS normal FROM documents)
         SELECT doc_id,

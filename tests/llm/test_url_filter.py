@@ -1,0 +1,103 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tastegraph.llm import url_filter
+
+SCHEMA = "page_id long, url string, html string"
+RULES = "host string, path string, verdict string"
+
+
+def make(spark, urls, first=0):
+    df = spark.createDataFrame([(first + i, u, "x") for i, u in enumerate(urls)], SCHEMA)
+    clashes = ["host", "path", "rule", "verdict", "row", "target", "id", "rows", "digest", "a.b"]
+    return df.select("*", *[F.lit(c).alias(c) for c in clashes])
+
+
+def brute(url, rules, default="allow"):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        cut = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut])
+        path = rest[cut:]
+        path = path[: min([path.find(c) for c in "?#" if c in path] or [len(path)])]
+    fits = []
+    for rule_host, rule_path, verdict in rules:
+        if None in (rule_host, rule_path, verdict):
+            continue
+        rule_host = rule_host.lower()
+        if (host == rule_host or host.endswith("." + rule_host)) and path.startswith(rule_path):
+            fits.append((len(rule_host + rule_path), len(rule_host), verdict, rule_host + rule_path))
+    if not fits:
+        return host, path, None, default
+    best = max(fits)
+    return host, path, best[3], best[2]
+
+
+def check(spark, urls, rules, default="allow"):
+    found = url_filter.verdicts(make(spark, urls), spark.createDataFrame(rules, RULES), default=default)
+    assert found.columns == ["page_id", "host", "path", "rule", "verdict"]
+    got = {r[0]: tuple(r[1:]) for r in found.collect()}
+    assert got == {i: brute(u, rules, default) for i, u in enumerate(urls)}
+
+
+AWKWARD = [
+    None, "", "no scheme.org/es/", "://", "http://", "https://ORG", "https://example.org", "https://Example.Org/es/1?x#y",
+    "https://a.example.org/en/1", "https://badexample.org/en/12", "https://a.b.com/de/", "https://a.b.com/fr/x/de/", "x://y://example.org/es/",
+    "https://example.org?/es/", "https://example.org#/es/", "https://user@example.org/es/", "https://example.org:80/es/", "https://..com/de/",
+    "https://com./de/", "http://x.org/\u00e9\U0001f600/", "http://x.org/a%20b\n/c", "http://h.org/" + "long/" * 20_000,
+    "https://.org/es/", "https://example.org/es/1", "https://example.org/es/1",
+]
+GIVEN = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def test_awkward_urls(spark):
+    check(spark, AWKWARD, GIVEN)
+    check(spark, AWKWARD, GIVEN, default="block")
+
+
+def test_rules_of_all_kinds(spark):
+    rules = [
+        ("", "", "block"), ("org", "", "block"), ("ORG", "/", "allow"), ("b.com", "", "allow"), ("a.b.com", "/", "block"), ("b.com", "/fr", "block"),
+        ("x.org", "/\u00e9\U0001f600", "block"), ("h.org", "/" + "long/" * 500, "allow"), ("example.org", "/es/", "allow"),
+        ("example.org", "/es/", "block"), (None, "/", "block"), ("org", None, "block"), ("org", "/", None), (".com", "/de/", "block"),
+    ]
+    check(spark, AWKWARD, rules)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_brute_force(spark, seed):
+    draw = random.Random(seed)
+
+    def host():
+        return ".".join(draw.choice("abc") for _ in range(draw.randint(1, 4)))
+
+    def path():
+        return "".join("/" + "".join(draw.choice("xy") for _ in range(draw.randint(0, 2))) for _ in range(draw.randint(0, 3)))
+
+    rules = [(host(), path(), draw.choice(["allow", "block"])) for _ in range(40)]
+    urls = ["http://" + host() + path() + draw.choice(["", "?q", "#f"]) for _ in range(400)]
+    check(spark, urls + urls[:50], rules)
+
+
+def test_colliding_prefixes_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "PREFIX_DIGITS", 1)
+    check(spark, AWKWARD, GIVEN)
+
+
+def test_empty_tables_and_whole_rows(spark):
+    pages, rules = make(spark, AWKWARD), spark.createDataFrame(GIVEN, RULES)
+    assert url_filter.verdicts(pages.limit(0), rules).count() == 0
+    assert {r[0] for r in url_filter.verdicts(pages, rules.limit(0), default="d").select("verdict").collect()} == {"d"}
+    kept = url_filter.allowed(pages, rules)
+    assert kept.columns == pages.columns
+    want = [i for i, u in enumerate(AWKWARD) if brute(u, GIVEN)[3] == "allow"]
+    assert sorted(r.page_id for r in kept.collect()) == want
+
+
+def test_no_python_worker(spark):
+    found = url_filter.verdicts(make(spark, AWKWARD), spark.createDataFrame(GIVEN, RULES))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan and "CartesianProduct" not in plan
