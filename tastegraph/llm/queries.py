@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe_automaton, exact_dedup, jaccard_join, language_mix, mixing, quality, secrets, token_files, topk_blocks, toxicity, url_filter
+from tastegraph.llm import bpe_automaton, exact_dedup, jaccard_join, language_mix, mixing, periodic_runs, quality, secrets, token_files, topk_blocks, toxicity, url_filter
 from tastegraph.llm.common import crc32_mod, table
 from tastegraph.session import shared_folder
 
@@ -98,6 +98,29 @@ def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.verdicts(table(spark, folder, "pages"), rules)
 
 
+def looped_text(doc_id: Column, text: Column) -> Column:
+    """The contract's texts: of one ID in ten the words from the a-th on repeat with period p."""
+    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10).cast("bigint")
+
+    def looped(words):
+        n = F.size(words).cast("bigint")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("bigint")
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        again = F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.get(words, place(i)))
+        return F.when(n > 0, F.array_join(again, " "))
+
+    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    # the words are made once, as the only element of an array
+    return F.when(h % 10 != 0, text).otherwise(F.get(F.transform(F.array(words), looped), F.lit(0)))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", looped_text(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic_runs.digests(docs)
+
+
 QUERIES = {
     "op1_topk_blocks": op1_topk_blocks,
     "op8_quality": op8_quality,
@@ -110,6 +133,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_bpe_automaton": op7_bpe_automaton,
     "op11_url_filter": op11_url_filter,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 def _secrets_sql() -> str:
