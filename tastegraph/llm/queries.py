@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import bpe_automaton, exact_dedup, jaccard_join, language_mix, mixing, periodic_runs, quality, secrets, token_files, topk_blocks, toxicity, url_filter
+from tastegraph.llm import bpe_automaton, exact_dedup, jaccard_join, language_mix, mixing, periodic_runs, quality, secrets, token_files, topk_blocks, toxicity, url_filter, whitening
 from tastegraph.llm.common import crc32_mod, table
 from tastegraph.session import shared_folder
 
@@ -98,6 +98,11 @@ def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.verdicts(table(spark, folder, "pages"), rules)
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"), k=32)
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 def looped_text(doc_id: Column, text: Column) -> Column:
     """The contract's texts: of one ID in ten the words from the a-th on repeat with period p."""
     h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
@@ -133,6 +138,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_bpe_automaton": op7_bpe_automaton,
     "op11_url_filter": op11_url_filter,
+    "op12_whitening": op12_whitening,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
