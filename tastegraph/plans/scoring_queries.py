@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from tastegraph.operators import learners, sampling, scoring, shaping
+from tastegraph.functions.columns import sigmoid
+from tastegraph.operators import learners, retrieval, sampling, scoring, shaping
 from tastegraph.plans import bindings as b
 from tastegraph.plans.bindings import SEED, with_ctes
 from tastegraph.plans.shaping_queries import examples
@@ -61,19 +62,40 @@ def mf(t):
     return _mf(t)
 
 
+# Every part, whether anybody bought it or not, has factors.
+_UNSEEN = {
+    "n": _FACTORS["n"],
+    "uf": _FACTORS["uf"],
+    "af": "SELECT p_partkey AS item_id, embedding::DOUBLE[] AS v FROM part, n JOIN embeddings ON vec_id = (p_partkey + 7) % n",
+    "unseen": """SELECT user_id, item_id, round(list_dot_product(u, v), 9) + 0.0 AS score FROM uf CROSS JOIN af
+        ANTI JOIN pairs USING (user_id, item_id)""",
+    "best": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM unseen)
+        WHERE rank <= {k}""",
+}
+
+
+def unseen_sql(k: int) -> dict[str, str]:
+    return _UNSEEN | {"best": _UNSEEN["best"].format(k=k)}
+
+
+def best_unseen(t, pairs, k):
+    """Each customer's ``k`` best parts among those not bought."""
+    items = b.items(t).select("item_id")
+    return retrieval.topk_unseen(_vectors(t, pairs, "user_id", "u"), _vectors(t, items, "item_id", "v", 7), pairs, k)
+
+
 @query(
     "topk_per_user",
     with_ctes(
         "pairs",
-        f"""SELECT user_id, item_id, predicted_rating, rank::INTEGER AS rank FROM (
-            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY predicted_rating DESC, item_id) AS rank FROM (
-                SELECT user_id, item_id, {_MF} AS predicted_rating FROM pairs JOIN uf USING (user_id) JOIN vf USING (item_id)))
-        WHERE rank <= 5""",
-        **_FACTORS,
+        "SELECT user_id, item_id, round(1.0::DOUBLE + 9.0::DOUBLE / (1 + exp(-score)), 6) AS predicted_rating, rank::INTEGER AS rank FROM best",
+        **unseen_sql(5),
     ),
 )
 def top5(t):
-    return scoring.topk_per_user(_mf(t), 5)
+    """The five best new parts of every customer."""
+    rating = F.lit(1.0) + F.lit(9.0) * sigmoid("score")
+    return best_unseen(t, written(b.pairs(t)), 5).select("user_id", "item_id", F.round(rating, 6).alias("predicted_rating"), "rank")
 
 
 _CENTROIDS = """SELECT label, dim - 1 AS dim, avg(value::DOUBLE) AS w FROM (
