@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tastegraph.functions.columns import sigmoid
 from tastegraph.operators import learners, retrieval, sampling, scoring, shaping
 from tastegraph.plans import bindings as b
-from tastegraph.plans.bindings import SEED, with_ctes
+from tastegraph.plans.bindings import SEED, unit, with_ctes
 from tastegraph.plans.shaping_queries import examples
 from tastegraph.session import written
 from tastegraph.sources.catalog import Tables
@@ -333,32 +333,75 @@ def routed(t):
     )
 
 
+# Rank 2 and two rounds: few enough numbers to solve the normal equations in SQL as well.
+RANK, ROUNDS, REG = 2, 2, 0.1
+
+
+def _half_step_sql(ratings: str, own: str, other: str, fixed: str) -> str:
+    return f"""SELECT {own}, (c1 * a22 - c2 * a12) / (a11 * a22 - a12 * a12) AS f1, (c2 * a11 - c1 * a12) / (a11 * a22 - a12 * a12) AS f2
+        FROM (SELECT {own}, sum(f1 * f1) + {REG}::DOUBLE * count(*) AS a11, sum(f1 * f2) AS a12, sum(f2 * f2) + {REG}::DOUBLE * count(*) AS a22,
+                     sum(f1 * rating) AS c1, sum(f2 * rating) AS c2 FROM {ratings} JOIN {fixed} USING ({other}) GROUP BY 1)"""
+
+
+def _als_sql(ratings: str) -> dict[str, str]:
+    steps = {
+        "v0": f"SELECT item_id, {unit(SEED, 'item_id', '0')} AS f1, {unit(SEED, 'item_id', '1')} AS f2 FROM (SELECT DISTINCT item_id FROM {ratings})"
+    }
+    for i in range(1, ROUNDS + 1):
+        steps[f"u{i}"] = _half_step_sql(ratings, "user_id", "item_id", f"v{i - 1}")
+        steps[f"v{i}"] = _half_step_sql(ratings, "item_id", "user_id", f"u{i}")
+    return {name: sql if name == "v0" else f"SELECT * FROM ({sql})" for name, sql in steps.items()}
+
+
 def _ratings(t):
-    """Ratings of product lines, the lines numbered."""
-    rated = written(b.line_purchases(t))
-    index = written(shaping.dense_index(rated, "line", "item_id"))
-    return written(
-        rated.join(index, "line").select(
-            F.col("user_id").cast("int").alias("user_id"), F.col("item_id").cast("int").alias("item_id"),
-            F.col("quantity").alias("rating"),
-        )
-    )
+    """Every customer's largest quantity of a part as a rating."""
+    return written(b.purchases(t).select("user_id", "item_id", F.col("quantity").alias("rating")))
+
 
+_RATED = "SELECT user_id, item_id, quantity AS rating FROM purchases"
 
-@query("mf_als_recommend")
+
+@query(
+    "mf_als_recommend",
+    with_ctes(
+        "purchases",
+        f"""SELECT user_id, item_id, round(score, 6) AS predicted_rating, rank::INTEGER AS rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM (
+                SELECT user_id, item_id, round(u.f1 * v.f1 + u.f2 * v.f2, 9) AS score
+                FROM u{ROUNDS} u CROSS JOIN v{ROUNDS} v ANTI JOIN ratings USING (user_id, item_id))) WHERE rank <= 5""",
+        ratings=_RATED,
+        **_als_sql("ratings"),
+    ),
+)
 def als_recommend(t):
     ratings = _ratings(t)
-    model = learners.mf_als_fit(ratings, seed=SEED)
-    return learners.mf_als_recommend(model, ratings, 5)
+    model = learners.mf_als_fit(ratings, RANK, ROUNDS, SEED, REG)
+    best = learners.mf_als_recommend(model, ratings, 5)
+    return best.withColumn("predicted_rating", F.round("predicted_rating", 6))
 
 
-@query("predict_holdout")
+@query(
+    "predict_holdout",
+    with_ctes(
+        "purchases",
+        f"""SELECT user_id, item_id, rating, round(coalesce(u.f1 * v.f1 + u.f2 * v.f2, um.m, im.m, (SELECT avg(rating) FROM train)), 6) AS prediction
+        FROM held LEFT JOIN u{ROUNDS} u USING (user_id) LEFT JOIN v{ROUNDS} v USING (item_id)
+        LEFT JOIN (SELECT user_id, avg(rating) AS m FROM train GROUP BY 1) um USING (user_id)
+        LEFT JOIN (SELECT item_id, avg(rating) AS m FROM train GROUP BY 1) im USING (item_id)""",
+        ratings=_RATED,
+        drawn=f"""SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {unit(SEED, 'user_id', 'item_id')}, item_id) AS rn,
+            count(*) OVER (PARTITION BY user_id) AS n, {unit(f'{SEED}-single', 'user_id')} < 0.5 AS heads FROM ratings""",
+        train="SELECT user_id, item_id, rating FROM drawn WHERE n > 1 AND rn > 2",
+        held="SELECT user_id, item_id, rating FROM drawn WHERE CASE WHEN n = 1 THEN heads ELSE rn = 1 END",
+        **_als_sql("train"),
+    ),
+)
 def als_holdout(t):
     parts = written(sampling.split_train_validate_test(_ratings(t), "user_id", ["item_id"], SEED))
     train = parts.filter("model_data_partition = 'train'")
-    model = learners.mf_als_fit(train, seed=SEED)
-    test = parts.filter("model_data_partition = 'test'")
-    return learners.predict_holdout(model, test, train).select("user_id", "item_id", "rating", "prediction")
+    model = learners.mf_als_fit(train, RANK, ROUNDS, SEED, REG)
+    test = parts.filter("model_data_partition = 'test'").select("user_id", "item_id", "rating")
+    return learners.predict_holdout(model, test, train).withColumn("prediction", F.round("prediction", 6))
 
 
 def _labelled(t):
