@@ -73,15 +73,39 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Has Spark remove an execution's shuffle files when it ends, not when the driver collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read on from there.
 
     For a frame that a plan reads several times: it is computed once, survives lost
-    executors, and readers still get column pruning and its true size. The table goes when the
-    driver ends.
+    executors, and readers still get column pruning and its true size. The shuffle files of
+    the write go with it; the table goes by ``discard`` or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     drop_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``written`` that nothing reads any more; other frames are left as they are."""
+    for table in tables:
+        path = getattr(table, "written_path", None) if "written_path" in vars(table) else None
+        if path is not None:
+            spark = table.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
