@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tastegraph.llm.common import handing_back
+
 NEVER = 1 << 62
 # Distinct pieces (between white space) and words a task keeps; then it starts anew. Bounds its memory.
 KEPT_PIECES = 400_000
@@ -172,7 +174,7 @@ class Codec:
         self.marks = regex.compile("(" + "|".join(marks) + ")") if marks else None
         self.labels = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         self.byte_label = dict(enumerate(byte_labels()))
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, array] = {}
         self.kept: dict[str, tuple[bytes, str]] = {}
 
     def _piece(self, piece: str) -> tuple[bytes, str]:
@@ -192,7 +194,7 @@ class Codec:
         ids = [i for path in paths for i in path]
         return array("I", ids).tobytes(), " ".join([self.labels[i] for i in ids])
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> list[int] | array:
         path = self.words.get(word)
         if path is None:
             if len(self.words) >= KEPT_PIECES:
@@ -202,7 +204,7 @@ class Codec:
             else:
                 path = self.automaton.path(word.encode("utf-8", "replace").decode("latin-1").translate(self.byte_label))
             if len(word) <= 64:
-                self.words[word] = path
+                self.words[word] = path = array("I", path)
         return path
 
     def _pieces(self, text: str) -> list[tuple[bytes, str]]:
@@ -228,6 +230,11 @@ class Codec:
             pieces = self._pieces(text)
         return b"".join([p[0] for p in pieces]), " ".join([p[1] for p in pieces if p[0]])
 
+    def forget(self) -> None:
+        """Empty the tables that were filled on the way."""
+        for table in (self.words, self.kept, self.automaton.table):
+            table.clear()
+
     def decode(self, ids) -> str:
         """Labels of the arcs, joined with a blank; ids without a label are left out."""
         return " ".join([self.labels[i] for i in map(int, ids) if i in self.labels])
@@ -245,6 +252,20 @@ def codec(definition: str) -> Codec:
     return _codecs[key]
 
 
+def _coding(run):
+    """``run(codec, batches)`` on the codec of a definition that was sent; its tables go when the task ends."""
+
+    def started(sent):
+        def task(batches):
+            coder = codec(sent.value)
+            yield from run(coder, batches)
+            coder.forget()
+
+        return handing_back(task)
+
+    return started
+
+
 def encode(docs: DataFrame, definition: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, ids array<int>, decoded string) of every whole text; a null text counts as empty.
 
@@ -253,37 +274,34 @@ def encode(docs: DataFrame, definition: str, text_col: str = "text", id_col: str
     """
     sent = docs.sparkSession.sparkContext.broadcast(definition)
 
-    def run(batches):
-        coder = codec(sent.value)
+    def run(coder, batches):
         for batch in batches:
-            out = [coder.encode(text or "") for text in batch.column(1).to_pylist()]
+            out = [coder.encode(text.as_py() or "") for text in batch.column(1)]
             ids = pa.array([np.frombuffer(x[0], "u4").astype("i4") for x in out], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array([x[1] for x in out], pa.string())], ["id", "ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_coding(run)(sent), f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
 def decode(coded: DataFrame, definition: str, ids_col: str = "ids", id_col: str = "doc_id") -> DataFrame:
     """(id, decoded) of rows of token ids; null counts as no ids."""
     sent = coded.sparkSession.sparkContext.broadcast(definition)
 
-    def run(batches):
-        coder = codec(sent.value)
+    def run(coder, batches):
         for batch in batches:
             texts = [coder.decode(ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["id", "decoded"])
 
     kind = coded.schema[id_col].dataType.simpleString()
-    return coded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"id {kind}, decoded string").withColumnRenamed("id", id_col)
+    return coded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(_coding(run)(sent), f"id {kind}, decoded string").withColumnRenamed("id", id_col)
 
 
 def digests(docs: DataFrame, definition: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): ``encode`` and ``decode`` with only digests leaving the task."""
     sent = docs.sparkSession.sparkContext.broadcast(definition)
 
-    def run(batches):
-        coder = codec(sent.value)
+    def run(coder, batches):
         for batch in batches:
             n, ids_sha, text_sha = [], [], []
             for text in batch.column(1):
@@ -296,4 +314,4 @@ def digests(docs: DataFrame, definition: str, text_col: str = "text", id_col: st
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_coding(run)(sent), schema).withColumnRenamed("id", id_col)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +16,33 @@ from tastegraph.functions.skew import HOT_SHARE
 FILTER_BITS = 1 << 26
 
 
+# Most bytes of rows that go to a Python worker in one batch.
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the folder; batches for Python workers are bounded by bytes from here on."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def handing_back(run):
+    """``run`` (a function of ``mapInArrow``) that gives memory back to the system when its task ends.
+
+    Python workers outlive their tasks: what one operator freed would otherwise stay with them.
+    """
+
+    def all_batches(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return all_batches
+
+
 def fold_ascii(text: Column) -> Column:
     """Lower case of A-Z only; null stays null."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.session import written
+from tastegraph.session import discard, written
 
 
 def _is_stars(edges: DataFrame) -> bool:
@@ -33,6 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: the smaller neighbours and the node itself go to its minimum.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        now = written(small.filter("a <> b").distinct())
+        before, now = now, written(small.filter("a <> b").distinct())
+        discard(before)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

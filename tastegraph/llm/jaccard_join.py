@@ -37,10 +37,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import in_filter, key_filter, packed, text_key, without
+from tastegraph.functions.ordering import dense_position
+from tastegraph.llm.common import handing_back, in_filter, key_filter, packed, text_key, without
 from tastegraph.llm.components import components
 from tastegraph.llm.exact_dedup import _answers, _owners, golomb_encode
-from tastegraph.session import written
+from tastegraph.session import discard, written
 
 WORDS, PERCENT = 5, 80
 SKETCH, CHUNK = 1 << 20, 1 << 12
@@ -305,7 +306,7 @@ def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
     one = _of_docs(texts, pairs.select(F.col("x").alias("doc"))).select(F.col("doc").alias("x"), F.col("text").alias("text_x"))
     other = _of_docs(texts, pairs.select(F.col("y").alias("doc"))).select(F.col("doc").alias("y"), F.col("text").alias("text_y"))
     rows = pairs.select("x", "y").join(one, "x").join(other, "y").select("x", "y", "text_x", "text_y")
-    return written(rows.mapInArrow(_verified(words, percent), "a long, b long").distinct())
+    return written(rows.mapInArrow(handing_back(_verified(words, percent)), "a long, b long").distinct())
 
 
 class _Components:
@@ -325,6 +326,7 @@ class _Components:
         )
         roots = components(ends).withColumnRenamed("node", "comp")
         self.of = written(comp.join(roots, "comp", "left").select("doc", F.coalesce("root", "comp").alias("comp")))
+        discard(comp, links)
 
 
 def _star_pairs(entries: DataFrame, percent: int, turn: int) -> DataFrame:
@@ -354,11 +356,13 @@ def _unsettled(entries: DataFrame) -> DataFrame:
 
 
 def _exchanged(blocks: DataFrame, owners: int, run, schema: str) -> DataFrame:
-    """Send the blocks' shingles to their owners; ``run`` gets each block with the answers."""
+    """Send the blocks' shingles to their owners; ``run`` gets each block with the answers. Written."""
     blocks = written(blocks)
     message = "owner long, block long, n long, k long, unary binary, rest binary, twice binary"
     answers = blocks.select("block", "tokens").mapInArrow(_messages(owners), message).groupBy("owner").applyInPandas(_answers, "block long, owner long, bits binary")
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(run, schema)
+    found = written(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(run, schema))
+    discard(blocks)
+    return found
 
 
 def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
@@ -384,7 +388,7 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
     key = text_key(id_col, text_col)
     source = docs.select(key[0].cast("bigint").alias("id"), key[1], key[2], F.col(text_col).alias("text"))
     schema = "id long, hash long, len int, n long, d1 long, d2 long, chunk long, counts binary"
-    first = written(source.mapInArrow(_sets(words), schema))
+    first = written(source.mapInArrow(handing_back(_sets(words)), schema))
     sets = first.filter("chunk IS NULL").drop("chunk", "counts")
     chunks = first.filter("chunk IS NOT NULL").select("chunk", "counts").groupBy("chunk").applyInPandas(_sum_chunk, "chunk long, counts binary")
     sketch = np.zeros(SKETCH, np.int64)
@@ -398,9 +402,9 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
     alone = source.filter(F.col("id").isNotNull())
     reps = without(alone, member.filter("id <> rep").select("id", "hash", "len"), "text", "id")
 
-    blocks = reps.select("id", "text").mapInArrow(_prefixes(sent, words, percent), "block long, tokens binary, docs binary, sizes binary, info binary")
+    blocks = reps.select("id", "text").mapInArrow(handing_back(_prefixes(sent, words, percent)), "block long, tokens binary, docs binary, sizes binary, info binary")
     kept = _exchanged(blocks, owners, _shared(owners), "token long, doc long, held long, n long, place long, level long")
-    entries = written(kept).withColumn("comp", F.col("doc"))
+    entries, held = kept.withColumn("comp", F.col("doc")), kept
     alive = written(entries.select("doc").distinct())
     comps = _Components(alive)
     texts = written(_of_docs(reps.select(F.col("id").alias("doc"), "text"), alive))
@@ -414,8 +418,10 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
         comps.join(_links(pairs, texts, words, percent))
         # Shingles whose documents are all of one component have no more to say.
         entries = written(_unsettled(entries.drop("comp").join(comps.of, "doc")))
+        discard(held)
+        held = entries
     asked = _of_docs(texts, entries.select("doc").distinct())
-    whole = _exchanged(asked.select("doc", "text").mapInArrow(_whole_sets(words), "block long, tokens binary, docs binary, sizes binary"), owners, _shared_sizes(owners), "doc long, n long, common long")
+    whole = _exchanged(asked.select("doc", "text").mapInArrow(handing_back(_whole_sets(words)), "block long, tokens binary, docs binary, sizes binary"), owners, _shared_sizes(owners), "doc long, n long, common long")
     common = whole.groupBy("doc", "n").agg(F.max("common").alias("common"))
     rest = _all_pairs(entries.join(common, ["doc", "n"]).filter(100 * F.col("common") >= percent * F.col("n")), percent)
     comps.join(_links(written(rest if tested is None else _untested(rest, tested)), texts, words, percent))
@@ -431,19 +437,40 @@ def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
     return pairs.join(both, ["x", "y"], "left_anti")
 
 
+def _nodes(keys: DataFrame) -> DataFrame:
+    """(id, hash, len, node) of the IDs that stand for several texts: a number below all IDs for each."""
+    texts = keys.groupBy("id").agg(F.min(F.struct("hash", "len")).alias("low"), F.max(F.struct("hash", "len")).alias("high"))
+    several = keys.join(texts.filter("low < high").select("id"), "id").distinct()
+    lowest = keys.agg(F.min("id")).scalar()
+    return written(dense_position(written(several), ["id", "hash", "len"], "place").withColumn("node", lowest - 1 - F.col("place")).drop("place"))
+
+
 def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest ID.
 
-    Rows without an ID stay. Of rows that repeat that ID, one stays.
+    A node is an ID with its text (its hash and length): different texts under one ID are judged
+    each by its own links; of those with the same smallest ID in a component the smaller (hash, length) stays.
+    Rows without an ID stay. Of rows that repeat ID and text, one stays.
     """
-    found = written(similar_documents(docs, text_col, id_col, **options))
-    gone = found.filter("component_id <> id").select("id", "hash", "len")
-    again = found.filter("component_id = id").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
-    long_id = F.col(id_col).cast("bigint")
-    held = packed(docs, long_id.alias("_id"), F.col(text_col).alias("_text"))
+    held = packed(docs, F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+    key = text_key("_id", "_text")
+    keys = held.select(*key).filter("id IS NOT NULL")
+    nodes = _nodes(keys)
+    bits = key_filter(nodes.select(F.xxhash64("id").alias("key")), "key")
+    narrow = held.select("_id", "_text", key[1], key[2])
+    certain = in_filter(narrow, F.xxhash64("_id"), bits, passing=False).select(F.col("_id").alias("_node"), "_text")
+    maybe = in_filter(narrow, F.xxhash64("_id"), bits).withColumnRenamed("_id", "id").join(nodes, ["id", "hash", "len"], "left")
+    numbered = certain.unionByName(maybe.select(F.coalesce("node", "id").alias("_node"), "_text"))
+    found = written(similar_documents(numbered, "_text", "_node", **options))
+
+    named = found.withColumnRenamed("id", "node").join(nodes.select("node", "id"), "node", "left")
+    told = named.select(F.struct(F.coalesce("id", "node").alias("id"), "hash", "len").alias("own"), "component_id").filter("own.id IS NOT NULL")
+    stays = told.groupBy("component_id").agg(F.min("own").alias("stays"))
+    gone = told.join(stays, "component_id").filter("own <> stays").select("own.*")
     rows = without(held, gone, "_text", "_id")
+    again = keys.groupBy("id", "hash", "len").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     bits = key_filter(again.select(F.xxhash64("id").alias("key")), "key")
     single = in_filter(rows, F.xxhash64("_id"), bits, passing=False)
-    maybe = in_filter(rows, F.xxhash64("_id"), bits)
-    one = maybe.filter(F.col("_id").isNotNull()).dropDuplicates(["_id"])
-    return single.unionByName(maybe.filter(F.col("_id").isNull())).unionByName(one).select("row.*")
+    maybe = in_filter(rows, F.xxhash64("_id"), bits).select("row", *text_key("_id", "_text"))
+    one = maybe.filter("id IS NOT NULL").dropDuplicates(["id", "hash", "len"])
+    return single.select("row").unionByName(maybe.filter("id IS NULL").select("row")).unionByName(one.select("row")).select("row.*")

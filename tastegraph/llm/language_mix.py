@@ -13,8 +13,6 @@ Ties go to the language that comes first in the alphabet; rows that repeat get t
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +20,6 @@ from pyspark.sql import functions as F
 
 GRAMS = 1 << 16
 ROUNDS, GAIN, SMOOTH = 15, 0.02, 0.5
-_LETTER = re.compile(r"[^\W\d_]")
 _TABLE = 0x3000
 
 
@@ -121,9 +118,11 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     sent = docs.sparkSession.sparkContext.broadcast((model[0], model[1].astype(np.float64)))
 
     def one(text, langs, likelihood):
-        if not langs or not text or not _LETTER.search(text):
+        if not langs or not text or not any(map(str.isalpha, text)):
             return "und", 0.0, [], []
         grams = trigrams(text)
+        if not len(grams):
+            return "und", 0.0, [], []
         counts = np.bincount(grams, minlength=GRAMS)
         held = np.flatnonzero(counts)
         chosen, share = select(likelihood[held], counts[held].astype(np.float64))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.functions.columns import seeded_uniform
-from tastegraph.llm.common import attach_left
+from tastegraph.llm.common import attach_left, packed
 from tastegraph.session import written
 
 ROUNDS = 6
@@ -155,7 +155,7 @@ def _drawn(id_col: str, seed: int) -> Column:
 def mix(docs: DataFrame, margins: dict[str, Column], powers: dict[str, float], seed: int = 3, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
     """The sampled rows of ``docs`` with their columns."""
     cells = written(probabilities(docs, margins, powers, text_col=text_col, **options)).select("_cell", "n", "probability")
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[c.alias(f"_m{i}") for i, c in enumerate(margins.values())])
-    celled = _celled(rows, {m: F.col(f"_m{i}") for i, m in enumerate(margins)}, "_text", [F.col("_row"), F.col("_id")])
-    kept = attach_left(celled.select("_row", "_id", "_cell"), cells, "_cell", "n").filter(_drawn("_id", seed))
-    return kept.select("_row.*")
+    rows = packed(docs, F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[c.alias(f"_m{i}") for i, c in enumerate(margins.values())])
+    celled = _celled(rows, {m: F.col(f"_m{i}") for i, m in enumerate(margins)}, "_text", [F.col("row"), F.col("_id")])
+    kept = attach_left(celled.select("row", "_id", "_cell"), cells, "_cell", "n").filter(_drawn("_id", seed))
+    return kept.select("row.*")

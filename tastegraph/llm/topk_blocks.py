@@ -9,8 +9,8 @@ score is still scored. Rows are dealt to blocks by their nearest pivot, then by
 the bounds tighter; the result does not depend on it.
 
 Components are turned into integers, floor(scale * x) in double precision, and scores are integer
-inner products, which have to fit a bigint. Vectors that are null, hold a null, a non-finite
-component or one of 2**53 or more after scaling take no part, nor do rows without ID. A query
+inner products. Components and scores that do not fit a bigint raise an error. Vectors that are null
+or hold a null or non-finite component take no part, nor do rows without ID. A query
 is compared with vectors of its own length; all rows with its own ID are left out. If
 query rows repeat an ID, the smallest vector asks; repeated candidates all count.
 """
@@ -33,8 +33,10 @@ BUNDLE_ROWS = 4096
 
 def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: float = 256.0) -> DataFrame:
     """(id, v array<bigint>) of the rows that take part."""
-    scaled = F.transform(vector_col, lambda x: F.floor(F.lit(scale) * x.cast("double")))
-    usable = F.forall(vector_col, lambda x: x.isNotNull() & (F.abs(F.lit(scale) * x.cast("double")) < float(1 << 53)))
+    product = lambda x: F.lit(scale) * x.cast("double")
+    too_large = F.raise_error(F.lit("a scaled component does not fit a bigint")).cast("bigint")
+    scaled = F.transform(vector_col, lambda x: F.when(F.abs(product(x)) < float(1 << 63), F.floor(product(x))).otherwise(too_large))
+    usable = F.forall(vector_col, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
     return (
         vectors.filter(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull())
         .filter(usable)
@@ -82,10 +84,11 @@ PACKED = "shard long, dim long, ids binary, data binary"
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b.T in whole numbers; through doubles where they are exact."""
-    if a.size and b.size and float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 1 << 53:
+    """a @ b.T in whole numbers: through doubles where they are exact, Python's where 64 bits are short."""
+    most = np.abs(a.astype(float)).max() * np.abs(b.astype(float)).max() * a.shape[1] if a.size and b.size else 0.0
+    if most < 2.0**53:
         return np.rint(a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a @ b.T
+    return a @ b.T if most < 2.0**62 else a.astype(object) @ b.T.astype(object)
 
 
 class BlockIndex:
@@ -112,6 +115,10 @@ class BlockIndex:
             self.scored += 1
             part = slice(block * BLOCK_ROWS, (block + 1) * BLOCK_ROWS)
             more = _product(self.rows[part], query[None, :])[:, 0]
+            if more.dtype == object:
+                if max(map(abs, more)) >= 1 << 63:
+                    raise OverflowError("an inner product does not fit a bigint")
+                more = more.astype(np.int64)
             keep = self.ids[part] != query_id
             if len(scores) == k:
                 keep &= more >= scores[-1]

@@ -77,3 +77,12 @@ def test_awkward_rows(spark):
 def test_empty(spark):
     assert jaccard_join.similar_documents(frame(spark, [])).count() == 0
     assert jaccard_join.one_of_each(frame(spark, [])).count() == 0
+
+
+def test_different_texts_under_one_id_are_judged_each(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(2, "x y z"), (2, "entirely other words here now then"), (1, base), (2, base + " end"), (5, base), (2, "x y z"), (7, "x y z")]
+    docs = frame(spark, rows)
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(2, "x y z"), (2, "entirely other words here now then"), (1, base)])

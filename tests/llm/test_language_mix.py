@@ -52,3 +52,28 @@ def test_em_finds_the_proportions():
     for _ in range(5):
         share, _ = language_mix.em(likelihood, counts)
     assert abs(share[0] - 0.3) < 0.05
+
+
+def test_word_characters_that_are_no_letters(spark):
+    docs = frame(spark, [(1, "the house is old", "en"), (2, "das haus ist alt", "de"), (3, "\u00bd \u00b2 \u2460", None), (4, "\u2167", None), (5, "12 \U0001f600", None), (6, "\u4e2d", None)])
+    found = {r.doc_id: r for r in language_mix.predict(docs, language_mix.learn(docs)).collect()}
+    assert [found[i].lang_pred for i in (3, 4, 5)] == ["und"] * 3 and [found[i].score for i in (3, 4, 5)] == [0.0] * 3
+    assert found[6].lang_pred in ("en", "de") and 0 < found[6].score <= 1
+
+
+def test_selection_equals_all_subsets():
+    """The chosen set has the best penalised likelihood of those that grow by proportion, and no single one beats it."""
+    rng = np.random.default_rng(4)
+    for weights in ([1, 0, 0], [0.6, 0.4, 0], [0.4, 0.3, 0.3], [0.97, 0.03, 0]):
+        model = rng.dirichlet(np.ones(40) * 0.2, size=3).T + 1e-6
+        model /= model.sum(axis=0)
+        counts = rng.multinomial(600, model @ np.array(weights) / (model @ np.array(weights)).sum()).astype(float)
+        held = counts > 0
+        price = 0.5 * np.log(600) + language_mix.GAIN * 600
+        best = {}
+        for some in ([0], [1], [2], [0, 1], [0, 2], [1, 2], [0, 1, 2]):
+            own, reached = language_mix.em(model[held][:, some], counts[held])
+            best[tuple(some)] = reached - (len(some) - 1) * price
+        chosen, share = language_mix.select(model[held], counts[held])
+        assert abs(share.sum() - 1) < 1e-9
+        assert best[tuple(sorted(chosen))] >= max(best.values()) - 0.02 * 600

@@ -91,3 +91,9 @@ def test_shortfall_names_the_saturated_cells(spark):
     assert {r.probability for r in mixing.probabilities(docs, margins(), POWERS, budget=1.0).collect()} == {1.0}
     assert mixing.mix(frame(spark, []), margins(), POWERS, budget=0.5).count() == 0
     assert mixing.mix(docs, margins(), POWERS, budget=1.0).count() == docs.count()
+
+
+def test_columns_with_dots_in_their_names(spark):
+    docs = frame(spark, [(i, "a b c") for i in range(20)]).withColumn("a.b", F.lit(1)).withColumn("_row", F.lit(2))
+    kept = mixing.mix(docs, {"source": F.col("source")}, {"source": 0.5}, budget=0.5)
+    assert kept.columns == docs.columns and kept.count() <= 20

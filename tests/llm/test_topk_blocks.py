@@ -56,3 +56,13 @@ def test_fewer_than_k_and_empty(spark):
     assert [tuple(r) for r in topk_blocks.search(df, df.filter("vec_id = 0")).collect()] == [(0, 1, 1, 256 * 512)]
     assert topk_blocks.search(df.limit(0), df.limit(0)).count() == 0
     assert topk_blocks.search(df, df.limit(0)).count() == 0
+
+
+def test_large_finite_components_take_part(spark):
+    rows = [(0, [1.0, 2.0]), (1, [2.0**46, 1.0]), (2, [0.5, 0.5])]
+    df = make(spark, rows)
+    got = sorted(map(tuple, topk_blocks.search(df, df.filter("vec_id = 0")).collect()))
+    assert got == brute(rows, {0}, 5) and [r[2] for r in got] == [1, 2]
+    far = make(spark, [(0, [2.0**40]), (1, [2.0**40])])
+    with pytest.raises(Exception, match="bigint"):
+        topk_blocks.search(far, far).collect()
