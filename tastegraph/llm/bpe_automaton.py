@@ -33,8 +33,9 @@ from tokenizers import Tokenizer
 from tastegraph.llm.common import handing_back
 
 NEVER = 1 << 62
-# Distinct pieces (between white space) and words a task keeps; then it starts anew. Bounds its memory.
-KEPT_PIECES = 400_000
+# Distinct pieces (between white space) and words of a generation: a task keeps two of them, the one
+# being filled and the one before, so that frequent ones stay. Bounds its memory.
+KEPT_PIECES = 200_000
 _FILE_SEPARATORS = regex.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\s+")
 
@@ -47,10 +48,36 @@ def byte_labels() -> list[str]:
     return [place[b] for b in range(256)]
 
 
+class Recent:
+    """A table of the latest entries: up to ``most`` being gathered, and the generation before them."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
+    def __len__(self) -> int:
+        return len(self.young) + len(self.old)
+
+
 class Automaton:
     """Deterministic automaton over the tokens of a BPE vocabulary."""
 
-    def __init__(self, vocab: dict[str, int], merges: list, end: str = ""):
+    def __init__(self, vocab: dict[str, int], merges: list, end: str = "", kept: int | None = None):
         self.ids, self.end = vocab, end
         size = max(vocab.values(), default=-1) + 1
         self.born = [-1] * size  # step that made a token; -1: given from the start
@@ -58,7 +85,7 @@ class Automaton:
         self.copied = [-1] * size  # token whose state this token's state is a copy of
         self.lost: dict[tuple[int, int], int] = {}  # (state, arc) -> step
         self.dead: set[int] = set()
-        self.table: dict[int, bool] = {}
+        self.table = Recent(2 * (kept or KEPT_PIECES))
         made = {t for m in merges for t in ["".join(m)]}
         known = {i for t, i in vocab.items() if t not in made}
         for step, (u, v) in enumerate(merges):
@@ -108,9 +135,8 @@ class Automaton:
         key = (state + 1) << 32 | arc
         found = self.table.get(key)
         if found is None:
-            if len(self.table) > 4 * KEPT_PIECES:
-                self.table.clear()
-            found = self.table[key] = self._has(state, arc)
+            found = self._has(state, arc)
+            self.table.put(key, found)
         return found
 
     def path(self, word: str) -> list[int]:
@@ -159,7 +185,7 @@ class Codec:
     joined with a blank).
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, kept: int | None = None):
         spec = json.loads(definition)
         model = spec["model"]
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -167,15 +193,14 @@ class Codec:
         if spec.get("decoder") is not None or model["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"]:
             raise ValueError("this kind of tokenizer file is not supported")
         self.library = Tokenizer.from_str(definition)
-        self.automaton = Automaton(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
+        self.automaton = Automaton(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "", kept)
         self.pattern = regex.compile(split["pattern"]["Regex"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         marks = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(marks) + ")") if marks else None
         self.labels = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         self.byte_label = dict(enumerate(byte_labels()))
-        self.words: dict[str, array] = {}
-        self.kept: dict[str, tuple[bytes, str]] = {}
+        self.words, self.kept = Recent(kept or KEPT_PIECES), Recent(kept or KEPT_PIECES)
 
     def _piece(self, piece: str) -> tuple[bytes, str]:
         """Ids (little-endian, 32 bits) and joined labels of a text without white space."""
@@ -197,26 +222,27 @@ class Codec:
     def _word(self, word: str) -> list[int] | array:
         path = self.words.get(word)
         if path is None:
-            if len(self.words) >= KEPT_PIECES:
-                self.words.clear()
             if word.isascii() and word.isprintable():
                 path = self.automaton.path(word)
             else:
                 path = self.automaton.path(word.encode("utf-8", "replace").decode("latin-1").translate(self.byte_label))
             if len(word) <= 64:
-                self.words[word] = path = array("I", path)
+                path = array("I", path)
+                self.words.put(word, path)
         return path
 
     def _pieces(self, text: str) -> list[tuple[bytes, str]]:
         kept, out = self.kept, []
+        young = kept.young
         for piece in _SPACE.split(text) if _FILE_SEPARATORS.search(text) else text.split():
-            found = kept.get(piece)
+            found = young.get(piece)
             if found is None:
-                if len(kept) >= KEPT_PIECES:
-                    kept.clear()
-                found = self._piece(piece)
-                if len(piece) <= 64:
-                    kept[piece] = found
+                found = kept.get(piece)
+                if found is None:
+                    found = self._piece(piece)
+                    if len(piece) <= 64:
+                        kept.put(piece, found)
+                young = kept.young
             out.append(found)
         return out
 
@@ -243,21 +269,21 @@ class Codec:
 _codecs: dict[str, Codec] = {}
 
 
-def codec(definition: str) -> Codec:
+def codec(definition: str, kept: int | None = None) -> Codec:
     """One codec for each tokenizer and Python worker."""
-    key = hashlib.sha256(definition.encode()).hexdigest()
+    key = f"{hashlib.sha256(definition.encode()).hexdigest()} {kept}"
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = Codec(definition)
+        _codecs[key] = Codec(definition, kept)
     return _codecs[key]
 
 
 def _coding(run):
     """``run(codec, batches)`` on the codec of a definition that was sent; its tables go when the task ends."""
 
-    def started(sent):
+    def started(sent, kept=None):
         def task(batches):
-            coder = codec(sent.value)
+            coder = codec(sent.value, kept)
             yield from run(coder, batches)
             coder.forget()
 
@@ -266,11 +292,13 @@ def _coding(run):
     return started
 
 
-def encode(docs: DataFrame, definition: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def encode(docs: DataFrame, definition: str, text_col: str = "text", id_col: str = "doc_id", kept: int | None = None) -> DataFrame:
     """(id, ids array<int>, decoded string) of every whole text; a null text counts as empty.
 
     A map without shuffle: a row in, a row out, other columns are left out, repeated rows stay.
     ``definition`` is the content of a tokenizer file (a fixed size), sent to the tasks once.
+    ``kept``: pieces and words of a generation in a task's tables (KEPT_PIECES); fewer take less memory
+    and more time.
     """
     sent = docs.sparkSession.sparkContext.broadcast(definition)
 
@@ -281,7 +309,7 @@ def encode(docs: DataFrame, definition: str, text_col: str = "text", id_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array([x[1] for x in out], pa.string())], ["id", "ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_coding(run)(sent), f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_coding(run)(sent, kept), f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
 def decode(coded: DataFrame, definition: str, ids_col: str = "ids", id_col: str = "doc_id") -> DataFrame:
