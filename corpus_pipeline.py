@@ -14,6 +14,9 @@ from tastegraph.llm.common import table
 from tastegraph.llm.queries import MIX_BUDGET, MIX_POWERS, mix_margins, tokenizer_definition
 from tastegraph.session import written
 
+# Entries of the encoder's tables: small, as its workers are those of the stages before.
+KEPT_PIECES = 60_000
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose quality posterior is below one half."""
@@ -37,7 +40,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, n_tokens) of every document left."""
-    coded = bpe_automaton.encode(docs, tokenizer_definition())
+    coded = bpe_automaton.encode(docs, tokenizer_definition(), kept=KEPT_PIECES)
     return coded.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"))
 
 

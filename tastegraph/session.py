@@ -89,7 +89,7 @@ def written(df: DataFrame) -> DataFrame:
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         if before is None:
             spark.conf.unset(SHUFFLE_CLEANUP)
