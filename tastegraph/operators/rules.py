@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tastegraph.functions.ordering import dense_position, first_k
@@ -72,21 +72,6 @@ def rank_rules(rules: DataFrame, by: str = "lift") -> DataFrame:
     return rules.orderBy(F.col(by).desc(), "antecedents", "consequents")
 
 
-def _by_rarest_item(rules: DataFrame) -> DataFrame:
-    """Add the antecedent item that the fewest rules need: the one item a basket is matched on."""
-    needed = rules.select(F.explode("antecedents").alias("_item")).groupBy("_item").agg(F.count("*").alias("_need"))
-    choice = (
-        rules.select("antecedents")
-        .distinct()
-        .select("antecedents", F.explode("antecedents").alias("_item"))
-        .join(needed, "_item")
-        .groupBy("antecedents")
-        .agg(F.min(F.struct("_need", "_item")).alias("_c"))
-        .select("antecedents", F.col("_c._item").alias("_match"))
-    )
-    return rules.join(choice, "antecedents")
-
-
 def _contents(baskets: DataFrame) -> DataFrame:
     """Distinct basket contents with an ID. They are few bytes that expand into many rule
     rows, so they are dealt out by number and not left to size-based coalescing."""
@@ -97,36 +82,109 @@ def _contents(baskets: DataFrame) -> DataFrame:
     return written(dense_position(keyed, ["_key"], "content_id").drop("_key")).repartition(parts, "content_id")
 
 
-def _match(contents: DataFrame, rules: DataFrame, extra: Column | None = None) -> DataFrame:
-    """Join contents and rules on the rules' rarest item and test containment.
+def _lots(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _in_every_lot(table: DataFrame) -> DataFrame:
+    """``table`` once per lot: rows dealt over the lots meet it without gathering on its keys, however few they are."""
+    lots = _lots(table.sparkSession)
+    return table.withColumn("_lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
 
-    The tests are spelled out per position (up to the longest rule) because the
-    higher-order functions would leave generated code for every candidate row.
+
+def antecedent_tree(rules: DataFrame) -> DataFrame:
+    """The prefix tree of the antecedents as nodes (path, depth, is_end): every beginning of every antecedent.
+
+    ``is_end``: the path is an antecedent itself. Antecedents are sorted, as the miner gives them.
     """
-    longest = rules.agg(F.max(F.size("antecedents")), F.max(F.size("consequents"))).first()
-    has = lambda side, i: F.array_contains(F.col("items"), F.get(F.col(side), F.lit(i)))
-    holds, adds = F.lit(True), F.lit(False)
-    for i in range(longest[0] or 0):
-        holds = holds & ((F.size("antecedents") <= i) | has("antecedents", i))
-    for i in range(longest[1] or 0):
-        adds = adds | ((F.size("consequents") > i) & ~has("consequents", i))
-    by_item = contents.withColumn("_match", F.explode("items"))
-    matched = by_item.join(rules, "_match")
-    return (matched if extra is None else matched.filter(extra)).filter(holds & adds).drop("_match")
+    places = rules.select("antecedents").distinct().select(
+        "antecedents", F.explode(F.sequence(F.lit(1), F.size("antecedents"))).alias("depth")
+    )
+    return (
+        places.groupBy(F.slice("antecedents", F.lit(1), F.col("depth")).alias("path"), "depth")
+        .agg(F.max(F.col("depth") == F.size("antecedents")).alias("is_end"))
+    )
+
+
+def contained_antecedents(contents: DataFrame, rules: DataFrame, key: str = "content_id") -> DataFrame:
+    """(key, items, antecedents): every antecedent that the ``items`` of a row contain.
+
+    The prefix tree is descended item by item: a row stands at the nodes it has reached, is extended by
+    each later item it holds, and is kept where the longer path is a node. So only beginnings of
+    antecedents are formed, never all subsets of a row. The join key is the whole path with a lot: the nodes are
+    in every lot and the rows dealt over the lots, so no path is hot. ``key`` is unique. Empty and NULL
+    ``items`` contain nothing; repeated ones count once.
+    """
+    tree = written(antecedent_tree(rules))
+    deepest = tree.agg(F.max("depth")).head()[0] or 0
+    lots = _lots(contents.sparkSession)
+    held = contents.select(key, F.array_distinct("items").alias("items"), F.pmod(F.xxhash64(key), F.lit(lots)).cast("int").alias("_lot"))
+    nodes = _in_every_lot(tree)
+    found = None
+    step = held.withColumn("path", F.expr("slice(items, 1, 0)"))
+    for depth in range(1, deepest + 1):
+        later = F.col("items") if depth == 1 else F.expr("filter(items, x -> x > element_at(path, -1))")
+        longer = step.select(key, "items", "_lot", "path", F.explode(later).alias("_item"))
+        longer = longer.select(key, "items", "_lot", F.concat("path", F.array("_item")).alias("path"))
+        level = nodes.filter(F.col("depth") == depth).drop("depth")
+        step = longer.join(level, ["_lot", "path"])
+        if depth < deepest:
+            step = written(step)
+        ends = step.filter("is_end").select(key, "items", "_lot", F.col("path").alias("antecedents"))
+        found = ends if found is None else found.unionByName(ends)
+    if found is None:
+        kind = rules.schema["antecedents"].dataType.simpleString()
+        return held.filter("false").withColumn("antecedents", F.array().cast(kind))
+    return found
+
+
+def _match(contents: DataFrame, rules: DataFrame, extra: Column | None = None) -> DataFrame:
+    """Contents and the rules that they contain and that add an item to them."""
+    found = contained_antecedents(contents, rules)
+    matched = found.join(_in_every_lot(rules), ["_lot", "antecedents"]).drop("_lot")
+    return (matched if extra is None else matched.filter(extra)).filter(F.size(F.array_except("consequents", "items")) > 0)
 
 
 def applicable_rules(rules: DataFrame, baskets: DataFrame) -> DataFrame:
     """Rules whose antecedents a basket contains and whose consequents add an item to it.
 
     One row per *distinct* basket content and rule, with the ``new_items``: equal baskets
-    get equal rules, so a content is matched once however many baskets share it. A rule
-    is found through one of its items and then tested for containment, which makes at
-    most one row per content and rule and never the subsets of a basket.
+    get equal rules, so a content is matched once however many baskets share it. The
+    antecedents are found by descending their prefix tree, which never forms the subsets of a basket.
     """
-    applied = _match(_contents(baskets), written(_by_rarest_item(rules)))
+    applied = _match(_contents(baskets), rules)
     return applied.drop("content_id").withColumn("new_items", F.array_except("consequents", "items"))
 
 
+def applicable_rules_of_rows(rules: DataFrame, rows: DataFrame, basket: str, item: str) -> DataFrame:
+    """(basket, antecedents, consequents, n_new, other columns of ``rules``) from rows (basket, item).
+
+    For baskets too large for an array in one row, such as all that a user ever bought: nothing of a basket
+    is gathered. Only items that some rule names matter, so other rows go first and repeated ones are
+    folded where they lie. The items left meet the sides that need them, and a side is held when its
+    count is complete. Rows are dealt over lots, so neither an item nor a basket is hot.
+    Rows with a NULL item hold nothing; rows with a NULL basket are one basket.
+    """
+    lots = _lots(rows.sparkSession)
+    rules = written(rules)
+    sides = rules.select(F.explode(F.array("antecedents", "consequents")).alias("_side")).distinct()
+    needs = sides.select("_side", F.explode("_side").alias("_item"))
+    held = rows.select(F.col(basket).alias("_basket"), F.col(item).alias("_item")).filter("_item IS NOT NULL").distinct()
+    dealt = held.withColumn("_lot", F.pmod(F.xxhash64("_basket", "_item"), F.lit(lots)).cast("int"))
+    counts = written(
+        dealt.join(_in_every_lot(needs), ["_lot", "_item"]).groupBy("_basket", "_side").agg(F.count("*").cast("int").alias("_n"))
+    )
+    full = counts.filter(F.col("_n") == F.size("_side")).select(
+        "_basket", F.col("_side").alias("antecedents"), F.pmod(F.xxhash64("_basket"), F.lit(lots)).cast("int").alias("_lot")
+    )
+    applied = full.join(_in_every_lot(rules), ["_lot", "antecedents"]).drop("_lot")
+    partly = counts.withColumnRenamed("_basket", "_b")
+    same = applied["_basket"].eqNullSafe(partly["_b"]) & (applied["consequents"] == partly["_side"])
+    new = F.size("consequents") - F.coalesce("_n", F.lit(0))
+    told = applied.join(partly, same, "left").withColumn("n_new", new).filter("n_new > 0")
+    return told.select(F.col("_basket").alias(basket), *rules.columns, "n_new")
+
+
 def rule_recommend(rules: DataFrame, baskets: DataFrame, basket: str, k: int = 3) -> DataFrame:
     """Per basket the items its top ``k`` applicable rules (by lift) add, with the counts that explain them.
 
@@ -137,15 +195,15 @@ def rule_recommend(rules: DataFrame, baskets: DataFrame, basket: str, k: int = 3
     """
     strongest = [F.col("lift").desc(), F.col("antecedents"), F.col("consequents")]
     place = F.row_number().over(Window.partitionBy("antecedents").orderBy(*strongest))
-    placed = written(_by_rarest_item(rules).withColumn("_place", place))
-    keys = placed.select("lift", "_place", "_match", "antecedents", "consequents")
+    placed = written(rules.withColumn("_place", place))
+    keys = placed.select("lift", "_place", "antecedents", "consequents")
     contents = _contents(baskets)
     spare = F.size("items") - F.size("antecedents")
     reachable = F.col("_place") <= F.lit(k) + F.pow(F.lit(2.0), F.least(spare, F.lit(60))) - 1
     pairs = _match(contents, keys, reachable).select("content_id", "lift", "antecedents", "consequents")
     best = first_k(pairs, ["content_id"], strongest, k, "rule_rank").drop("lift")
     chosen = (
-        best.join(placed.drop("_place", "_match"), ["antecedents", "consequents"])
+        best.join(placed.drop("_place"), ["antecedents", "consequents"])
         .join(contents, "content_id")
         .select(
             "items", "rule_rank", "antecedents", "consequents", "antecedent_count", "both_count", "confidence", "lift",

@@ -104,6 +104,32 @@ def applicable(t):
     return baskets.join(per_content, "items").select("basket_id", "n_rules", "best_lift", "n_new")
 
 
+@query(
+    "applicable_rules_of_users",
+    with_ctes(
+        "branded",
+        """SELECT user_id, count(*) AS n_rules, max(lift) AS best_lift, sum(bit_count(c & ~u))::BIGINT AS n_new
+        FROM owned JOIN masked ON (u & a) = a AND (u & c) <> c GROUP BY 1""",
+        **_SQL,
+        bits="SELECT p_brand, 1::BIGINT << (row_number() OVER (ORDER BY p_brand) - 1) AS bit FROM (SELECT DISTINCT p_brand FROM part)",
+        owned="""SELECT o_custkey AS user_id, bit_or(bit) AS u FROM lineitem
+        JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN bits USING (p_brand) GROUP BY 1""",
+        numbered="SELECT antecedents, consequents, lift, row_number() OVER () AS rule FROM rules",
+        a_side="""SELECT rule, lift, bit_or(bit) AS a FROM (SELECT rule, lift, unnest(antecedents) AS p_brand FROM numbered)
+        JOIN bits USING (p_brand) GROUP BY 1, 2""",
+        c_side="""SELECT rule, bit_or(bit) AS c FROM (SELECT rule, unnest(consequents) AS p_brand FROM numbered)
+        JOIN bits USING (p_brand) GROUP BY 1""",
+        masked="SELECT lift, a, c FROM a_side JOIN c_side USING (rule)",
+    ),
+)
+def applicable_of_users(t):
+    """Rules that everything a user ever bought calls for, counted over rows and never gathered into a basket."""
+    bought = b.lines(t).join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("o_custkey").alias("user_id"), "p_brand")
+    return rules.applicable_rules_of_rows(mined(t)[1], bought, "user_id", "p_brand").groupBy("user_id").agg(
+        F.count("*").alias("n_rules"), F.max("lift").alias("best_lift"), F.sum("n_new").alias("n_new")
+    )
+
+
 @query(
     "rule_recommend",
     with_ctes(

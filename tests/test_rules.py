@@ -115,3 +115,38 @@ def test_max_len_and_no_rules(spark):
     assert sorted(tuple(r["items"]) for r in itemsets.collect()) == [("a",), ("b",)]
     none = rules.association_rules(itemsets)
     assert rules.rule_recommend(none, frame, "basket_id").count() == 0
+
+
+def test_tree_finds_the_antecedents_without_broadcasts(mined, spark):
+    baskets, frame, _, found = mined
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = rules.contained_antecedents(frame, found, "basket_id").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    sides = {a for a, _ in brute_rules(brute_itemsets(baskets, 0.05), len(baskets))}
+    expected = sorted((i, a) for i, b in enumerate(baskets) for a in sides if set(a) <= set(b))
+    assert sorted((r["basket_id"], tuple(r["antecedents"])) for r in rows) == expected
+
+
+def test_tree_with_unsorted_repeated_empty_and_null_items(mined, spark):
+    found = mined[3]
+    odd = spark.createDataFrame([(1, ["c", "a", "a", "b"]), (2, ["a", "b", "c"]), (3, []), (4, None)], "k int, items array<string>")
+    rows = rules.contained_antecedents(odd, found, "k").collect()
+    of = lambda k: sorted(tuple(r["antecedents"]) for r in rows if r["k"] == k)
+    assert of(1) == of(2) and of(1) and not of(3) and not of(4)
+    assert rules.contained_antecedents(odd, found.filter("false"), "k").count() == 0
+
+
+def test_rules_of_rows_by_counting(mined, spark):
+    baskets, _, _, found = mined
+    brute = brute_rules(brute_itemsets(baskets, 0.05), len(baskets))
+    rows = [(i, x) for i, b in enumerate(baskets) for x in b] + [(None, x) for x in "abc"]
+    rows = rows * 2 + [(0, None), (1, "never in a rule")]
+    frame = spark.createDataFrame(rows, "basket int, thing string")
+    got = rules.applicable_rules_of_rows(found, frame, "basket", "thing").collect()
+    whole = list(enumerate(baskets)) + [(None, list("abc"))]
+    expected = {(i, a, c): len(set(c) - set(b)) for i, b in whole for a, c in brute if set(a) <= set(b) and not set(c) <= set(b)}
+    assert {(r["basket"], tuple(r["antecedents"]), tuple(r["consequents"])): r["n_new"] for r in got} == expected
+    assert len(got) == len(expected)
