@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 QUERIES, ORACLES = all_queries(), all_oracles()
 ROWS_ONLY = {
-    "interaction_classifier", "deep_classifier", "lsi_similar_topk", "lda_similar_topk",
+    "interaction_classifier", "deep_classifier", "lsi_similar_topk",
 }
 
 
