@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tastegraph.llm import bpe_automaton, exact_dedup, jaccard_join, language_mix, mixing, periodic_runs, quality, secrets, token_files, topk_blocks, toxicity, url_filter, whitening
 from tastegraph.llm.common import crc32_mod, table
-from tastegraph.session import shared_folder
+from tastegraph.session import drop_at_exit, shared_folder
 
 
 def tokenizer_definition(name: str = "word_bpe_49k.json") -> str:
@@ -78,6 +78,7 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/token-ids-{uuid.uuid4().hex}"
+    drop_at_exit(spark, path)
     token_files.write_ids(table(spark, folder, "documents"), tokenizer_definition(), path, end_id=1)
     return token_files.read_ids(spark, path, digests_only=True).withColumnRenamed("id", "doc_id")
 

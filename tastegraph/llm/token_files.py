@@ -20,6 +20,7 @@ set without blocks.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import zlib
@@ -34,30 +35,71 @@ from tokenizers import Tokenizer
 
 from tastegraph.session import written
 
-# The dictionary is trained on the first TRAIN_CHARS characters of TRAIN_DOCS documents (those
-# with the smallest hashes of their IDs): a bounded sample, whatever the size of the corpus.
-TRAIN_DOCS, TRAIN_CHARS, DICTIONARY_BYTES = 1000, 2000, 32768
+# The dictionary serves short documents. It is trained on the whole ID arrays of those of TRAIN_DOCS
+# documents (with the smallest hashes of their IDs) that have at most TRAIN_CHARS characters: a sample
+# bounded in rows and bytes, whatever the size of the corpus.
+TRAIN_DOCS, TRAIN_CHARS, DICTIONARY_BYTES = 1000, 8000, 32768
 BLOCK_DOCS, BLOCK_BYTES = 2048, 1 << 20
 # Distinct pieces between white space whose IDs a task keeps; then it starts anew.
 KEPT_PIECES = 800_000
+# Pieces, and words in one text, that the library is asked for at once.
+ASKED, WORDS_A_TEXT = 20_000, 1000
 SALTS = 64
+# Fixed value: the splitting pattern of the tokenizer files that the encoder is valid for.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SPACE = re.compile("[^\\S\x1c-\x1f]+")
 
 
 class PieceEncoder:
     """IDs of texts by the tokenizers library, which is asked once for each distinct piece.
 
-    Valid for tokenizers that drop white space, fold case and split letters from punctuation:
-    no token spans two pieces, nor a word and its closing mark.
+    Valid for tokenizers that fold case, drop white space and split letters from other marks, so that no token
+    spans two pieces, nor a word and its closing mark; other definitions are refused.
+
+    Words of letters go to the library many at a time with blanks between. Their IDs are told apart by
+    the labels that end with the vocabulary's word-end mark: a word has one such label at most, so
+    if there are as many as words, each has its own. Otherwise, and without such a mark, words go one by one.
     """
 
     def __init__(self, definition: str, width: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        spec = json.loads(definition)
+        kinds = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        splits = [p for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"]
+        first = splits[0] if splits else {"pattern": {}, "behavior": "", "invert": False}
+        if kinds != ["NFC", "Replace", "Lowercase"] or first["pattern"].get("Regex") != WORDS or first["behavior"] != "Removed" or not first["invert"]:
+            raise ValueError("this kind of tokenizer file is not supported")
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = f"<u{width}"
         self.kept: dict[str, bytes] = {}
+        labels = self.tokenizer.get_vocab(with_added_tokens=True)
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(max(labels.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for label, i in labels.items() if label.endswith(suffix)]] = True
+
+    def _ask(self, pieces: list[str]) -> None:
+        for a in range(0, len(pieces), ASKED):
+            part = pieces[a : a + ASKED]
+            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.kept[piece] = np.array(found.ids, self.kind).tobytes()
+
+    def _ask_words(self, words: list[str]) -> None:
+        width = np.dtype(self.kind).itemsize
+        for a in range(0, len(words), WORDS_A_TEXT):
+            part = words[a : a + WORDS_A_TEXT]
+            [found] = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(found.ids, self.kind)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                self._ask(part)
+                continue
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(part, (ends * width).tolist()):
+                self.kept[word] = raw[start:end]
+                start = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         kept = self.kept
@@ -67,23 +109,19 @@ class PieceEncoder:
         every: set[str] = set()
         for pieces in split:
             every.update(pieces)
-        new = {p for p in every if p not in kept}
+        new = every.difference(kept)
         # A word and its closing mark are apart for the tokenizer, and case is folded: most new
         # pieces are known words in another form.
-        formed = {p: (m[1].lower(), m[2]) for p in new if (m := _FORMED.fullmatch(p))}
-        wanted = new.difference(formed)
-        for parts in formed.values():
-            wanted.update(parts)
-        wanted.discard("")
-        asked = [p for p in wanted if p not in kept]
-        for a in range(0, len(asked), 20_000):
-            part = asked[a : a + 20_000]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                kept[piece] = np.array(found.ids, self.kind).tobytes()
-        for piece, (word, mark) in formed.items():
+        formed = [(p, m[1].lower(), m[2]) for p in new if (m := _FORMED.fullmatch(p))]
+        words = {word for _, word, _ in formed}
+        others = new.difference([p for p, _, _ in formed])
+        others.update([mark for _, _, mark in formed if mark])
+        self._ask_words(list(words.difference(kept)))
+        self._ask(list(others.difference(kept)))
+        for piece, word, mark in formed:
             kept[piece] = kept[word] + kept[mark] if mark else kept[word]
-        out = [b"".join([kept[p] for p in pieces]) for pieces in split]
-        for piece in [p for p in new | wanted if len(p) > 64]:
+        out = [b"".join(map(kept.__getitem__, pieces)) for pieces in split]
+        for piece in [p for p in new | words | others if len(p) > 64]:
             kept.pop(piece, None)
         return out
 
@@ -108,13 +146,13 @@ def id_width(definition: str) -> int:
 
 
 def train_dictionary(docs: DataFrame, definition: str, width: int, text_col: str = "text", id_col: str = "doc_id") -> bytes:
-    """A dictionary from serialized ID arrays of the bounded sample; empty if there is none."""
-    text = F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, TRAIN_CHARS)
+    """A dictionary from whole serialized ID arrays of the bounded sample; empty if it has no short text."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
     order = F.xxhash64(F.col(id_col))
     last = docs.select(order.alias("o")).distinct().orderBy("o").limit(TRAIN_DOCS).agg(F.max("o")).head()[0]
     if last is None:
         return b""
-    rows = docs.filter(order <= last).groupBy(order.alias("o")).agg(F.min(text).alias("t")).orderBy("o").collect()
+    rows = docs.filter((order <= last) & (F.length(text) <= TRAIN_CHARS)).groupBy(order.alias("o")).agg(F.min(text).alias("t")).orderBy("o").collect()
     samples = [s for s in _encoder(definition, width).encode([r.t for r in rows]) if s]
     if not samples:
         return b""

@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -58,3 +59,38 @@ def test_empty(spark, tmp_path):
 def test_frame_sizes_are_in_the_header():
     raw = b"ab" * 1000
     assert zstandard.frame_content_size(zstandard.ZstdCompressor().compress(raw)[:18]) == 2000
+
+
+def test_words_asked_for_together_equal_the_library(monkeypatch):
+    monkeypatch.setattr(token_files, "WORDS_A_TEXT", 7)
+    texts = ["One two, two! THREE four's fünf sechs sieben acht neun zehn", "ŁÓDŹ łódź Łódź; ǅ ẞ İ ŉ ¼ x²", "", "</w> a</w>b <|endoftext|> don't"]
+    definition = tokenizer_definition()
+    library = Tokenizer.from_str(definition)
+    found = token_files.PieceEncoder(definition, 4).encode(texts * 2)
+    assert found == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts * 2]
+
+
+def test_without_word_ends_words_are_asked_for_one_by_one():
+    spec = json.loads(tokenizer_definition())
+    spec["model"]["end_of_word_suffix"] = None
+    definition = json.dumps(spec)
+    library = Tokenizer.from_str(definition)
+    [found] = token_files.PieceEncoder(definition, 4).encode(["some words, and some more"])
+    assert found == np.array(library.encode("some words, and some more", add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("change", [{"normalizer": None}, {"pre_tokenizer": None}, {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "a"}, "behavior": "Isolated", "invert": False}]}}])
+def test_other_kinds_of_tokenizers_are_refused(change):
+    with pytest.raises(ValueError):
+        token_files.PieceEncoder(json.dumps(json.loads(tokenizer_definition()) | change), 4)
+
+
+def test_dictionary_learns_from_whole_short_texts_only(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "TRAIN_CHARS", 60)
+    rows = [(i, f"short text number {i} of the sample") for i in range(300)] + [(1000 + i, "long unseen words " * 50) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    definition = tokenizer_definition()
+    content = token_files.train_dictionary(docs, definition, 2)
+    unseen = np.array(Tokenizer.from_str(definition).encode("long unseen words long", add_special_tokens=False).ids, "<u2").tobytes()
+    assert content and unseen not in content
+    assert token_files.train_dictionary(docs.filter("doc_id >= 1000"), definition, 2) == b""
