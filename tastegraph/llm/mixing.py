@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tastegraph.functions.columns import seeded_uniform
 from tastegraph.llm.common import attach_left, packed
-from tastegraph.session import written
+from tastegraph.session import discard, written
 
 ROUNDS = 6
 SEPARATOR = "\x01"
@@ -59,19 +59,22 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     Targets are shares; they need not add up to one. Values without a target get weight 0. After
     each round the cells are written: the plan stays short and nothing is computed twice.
     """
-    shares = {}
+    weights = cells.withColumn("weight", F.col("base").cast("double"))
     for margin, target in targets.items():
         total = target.agg(F.sum("target")).head()[0] or 1.0
-        shares[margin] = written(target.select(F.col("value").alias(margin), (F.col("target") / total).alias("share")))
-    weights = cells.withColumn("weight", F.col("base").cast("double"))
+        share = target.select(F.col("value").alias(margin), (F.col("target") / total).alias(f"share{margin}"))
+        weights = weights.join(share, margin, "left")
+    weights = written(weights.fillna(0.0, [f"share{m}" for m in targets]))
     for _ in range(rounds):
-        for margin, share in shares.items():
-            sums = weights.groupBy(margin).agg(F.sum("weight").alias("held")).join(share, margin, "left")
-            factor = F.when(F.col("held") > 0, F.coalesce("share", F.lit(0.0)) / F.col("held")).otherwise(0.0)
-            weights = weights.join(sums.select(margin, factor.alias("factor")), margin)
+        before = weights
+        for margin in targets:
+            # Every cell knows its value's share, so a margin takes one join.
+            factor = F.when(F.sum("weight") > 0, F.max(f"share{margin}") / F.sum("weight")).otherwise(0.0)
+            weights = weights.join(weights.groupBy(margin).agg(factor.alias("factor")), margin)
             weights = weights.withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
         weights = written(weights)
-    return weights
+        discard(before)
+    return weights.select(*cells.columns, "weight")
 
 
 def _celled(docs: DataFrame, margins: dict[str, Column], text_col: str, extra: list[Column]) -> DataFrame:
