@@ -21,15 +21,16 @@ the prior. Rows that repeat are scored alike; an empty table gives an empty resu
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,10 +42,12 @@ FEATURES, BEGINNINGS = 1_000, (4, 5, 6, 7, 8)
 DIFFERENT = 2.0
 POSITIVES, UNLABELLED = 4_000, 16_000
 STEPS, RATE, RIDGE = 300, 0.05, 1e-3
-# Distinct words whose features a task keeps; then it starts anew.
-KEPT_WORDS = 200_000
-# Distinct features that a task counts before it hands its counts on.
-COUNTED_FEATURES = 300_000
+# Distinct words whose features a task keeps, and their characters; then it starts anew.
+KEPT_WORDS, KEPT_CHARS = 200_000, 8_000_000
+# Distinct stems that a task counts before it hands its counts on.
+COUNTED_STEMS = 300_000
+# Words of whole texts whose stems are counted at once.
+SLICE_WORDS = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -67,7 +70,7 @@ class Finder:
         if found is None:
             if len(self.kept) >= KEPT_WORDS:
                 self.kept.clear()
-            found = ("=" + word, *(word[:n] for n in BEGINNINGS if len(word) >= n))
+            found = stems_of_word(word)
             if self.stems is not None:
                 found = tuple(f for f in found if f in self.stems)
             if self.among is not None:
@@ -93,6 +96,58 @@ class Finder:
         return sorted(out if self.known is None else self.known.intersection(out))
 
 
+def stems_of_word(word: str) -> tuple[str, ...]:
+    return ("=" + word, *(word[:n] for n in BEGINNINGS if len(word) >= n))
+
+
+class StemCounts(dict):
+    """Numbers words as they are met, with the numbers of their stems, and counts stems in arrays.
+
+    ``number`` gives a stem's number below ``span()``, or None for a stem that is not looked for.
+    """
+
+    def __init__(self, number, span):
+        self.number, self.span = number, span
+        self.forget()
+
+    def forget(self):
+        self.clear()
+        self.chars = 0
+        self.stems, self.ends = array("q"), array("q", [0])
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self.ends) - 1
+        self.chars += len(word)
+        self.stems.extend([n for n in map(self.number, stems_of_word(word)) if n is not None])
+        self.ends.append(len(self.stems))
+        return place
+
+    def __call__(self, texts):
+        """Slices of whole texts: (texts in it, rows, stems, counts). A count is the number of a
+        text's distinct words that have the stem; rows start at 0 in each slice and are sorted."""
+        words, sizes = [], []
+        for text in texts:
+            found = set(_WORD.findall(text.lower())) if text else ()
+            words.extend(map(self.__getitem__, found))
+            sizes.append(len(found))
+            if len(words) >= SLICE_WORDS:
+                yield self._counted(words, sizes)
+                words, sizes = [], []
+                if len(self) > KEPT_WORDS or self.chars > KEPT_CHARS:
+                    self.forget()
+        if sizes:
+            yield self._counted(words, sizes)
+
+    def _counted(self, words: list[int], sizes: list[int]):
+        of_word, ends = np.array(words, np.int64), np.array(self.ends)
+        start, n = ends[of_word], ends[of_word + 1] - ends[of_word]
+        at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        rows = np.repeat(np.repeat(np.arange(len(sizes)), sizes), n)
+        span = max(1, self.span())
+        keys, counts = np.unique(rows * span + np.array(self.stems, np.int64)[at], return_counts=True)
+        return len(sizes), keys // span, keys % span, counts
+
+
 @dataclass
 class Model:
     prior: float
@@ -100,11 +155,23 @@ class Model:
     intercept: float
 
     def scorer(self):
-        finder = Finder(self.weights)
-
-        def score(text: str | None) -> float:
-            z = self.intercept + sum([self.weights[f] for f in finder(text)])
-            return float(1 / (1 + math.exp(-min(700.0, max(-700.0, z)))))
+        """Function from a list of texts to their scores."""
+        stems = {s: i for i, s in enumerate(sorted({f if f[0] == "=" else f[:-2] for f in self.weights}))}
+        # gain[s, c]: what stem s adds where c (at most 3) distinct words have it.
+        gain = np.zeros((len(stems) + 1, 4))
+        for name, weight in self.weights.items():
+            if name[0] == "=":
+                gain[stems[name], 1:] += weight
+            else:
+                gain[stems[name[:-2]], int(name[-1]) :] += weight
+        counter = StemCounts(stems.get, lambda: len(stems))
+
+        def score(texts: list[str | None]) -> np.ndarray:
+            z = [
+                np.bincount(rows, weights=gain[found, np.minimum(counts, 3)], minlength=n)
+                for n, rows, found, counts in counter(texts)
+            ]
+            return 1 / (1 + np.exp(-np.clip(self.intercept + np.concatenate([np.empty(0), *z]), -700, 700)))
 
         return score
 
@@ -158,23 +225,40 @@ def _feature_counts(texts: DataFrame, among: bytes | None = None) -> DataFrame:
 
     def run(batches):
         finder = Finder(among=sent.value)
-        held = [Counter(), Counter(), Counter()]  # texts with at least 1, 2, 3 words of a stem
+        places: dict[str, int] = {}
+
+        def number(stem):
+            place = places.get(stem)
+            if place is None and (finder.among is None or finder._may_be(stem)):
+                place = places[stem] = len(places)
+            return place
+
+        counter = StemCounts(number, lambda: len(places))
+        held = np.zeros((3, 0), np.int64)  # texts with at least 1, 2, 3 words of a stem
 
-        def counted():
-            for n, counts in enumerate(held, 1):
-                names = [f if f[0] == "=" else f"{f}#{n}" for f in counts]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(list(counts.values()), pa.int64())], ["feature", "n"])
-                counts.clear()
+        def handed():
+            stems = pa.array(list(places), pa.string())
+            is_word = pc.starts_with(stems, "=")
+            for n in range(3):
+                some = np.flatnonzero(held[n])
+                names = pc.if_else(is_word, stems, pc.binary_join_element_wise(stems, f"#{n + 1}", "")).take(pa.array(some))
+                yield pa.RecordBatch.from_arrays([names, pa.array(held[n][some])], ["feature", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                stems = finder.stems_of(text.as_py())
-                held[0].update(stems.keys())
-                held[1].update([f for f, c in stems.items() if c > 1])
-                held[2].update([f for f, c in stems.items() if c > 2])
-                if len(held[0]) >= COUNTED_FEATURES:
-                    yield from counted()
-        yield from counted()
+            for _, _, stems, counts in counter(batch.column(0).to_pylist()):
+                if len(places) > held.shape[1]:
+                    held = np.pad(held, ((0, 0), (0, 2 * len(places) - held.shape[1])))
+                for n in range(3):
+                    some = np.bincount(stems[counts > n])
+                    held[n, : len(some)] += some
+                if len(places) >= COUNTED_STEMS:
+                    held = held[:, : len(places)]
+                    yield from handed()
+                    places.clear()
+                    counter.forget()
+                    held = np.zeros((3, 0), np.int64)
+        held = held[:, : len(places)]
+        yield from handed()
 
     return texts.mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
@@ -244,7 +328,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "
     def run(batches):
         one = sent.value.scorer()
         for batch in batches:
-            out = [one(text) for text in batch.column(1).to_pylist()]
+            out = one(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()

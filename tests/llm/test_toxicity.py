@@ -87,3 +87,50 @@ def test_counts_cover_every_text(spark):
     assert {"=abcdefgh": 2, "abcd#1": 3, "abcd#2": 1, "abcdefgh#1": 2}.items() <= some.items() and all(want[f] == n for f, n in some.items())
     finder = toxicity.Finder(among=toxicity.stem_bits(held))
     assert all(finder._may_be(s) for s in ("=abcdefgh", "abcd", "abcdefgh", "=zz", "=\u00fcml\u00e4ut", "\u00fcml\u00e4u")) and not finder._may_be("=other")
+
+
+def test_slices_and_forgetting_change_nothing(monkeypatch):
+    rng = random.Random(5)
+    texts = [None, ""] + [" ".join("".join(rng.choice("abc") for _ in range(rng.randrange(1, 8))) for _ in range(rng.randrange(60))) for _ in range(50)]
+    monkeypatch.setattr(toxicity, "SLICE_WORDS", 30)
+    monkeypatch.setattr(toxicity, "KEPT_WORDS", 40)
+    finder, places = toxicity.Finder(), {}
+    counter = toxicity.StemCounts(lambda stem: places.setdefault(stem, len(places)), lambda: len(places))
+    got, at = {}, 0
+    for n, rows, stems, counts in counter(texts):
+        names = list(places)
+        got |= {(at + r, names[s]): c for r, s, c in zip(rows.tolist(), stems.tolist(), counts.tolist())}
+        at += n
+    assert at == len(texts) and got == {(i, s): c for i, text in enumerate(texts) for s, c in finder.stems_of(text).items()}
+
+
+def test_scores_add_the_weights_of_a_text():
+    weights = {"=foul": 1.5, "foul#1": 0.25, "foul#2": 0.5, "foul#3": -2.0, "fouls#1": 3.0}
+    texts = [None, "", "foul", "Foul fouls", "foul fouls foulest", "fine words", "foul foul"]
+    finder, got = toxicity.Finder(weights), toxicity.Model(0.1, weights, -1.0).scorer()(texts)
+    want = [1 / (1 + np.exp(1.0 - sum(weights[f] for f in finder(text)))) for text in texts]
+    assert np.allclose(got, want) and len(got) == len(texts)
+    assert len(toxicity.Model(0.1, {}, 0.0).scorer()([])) == 0 and toxicity.Model(0.1, {}, 0.0).scorer()(["a"]) == [0.5]
+
+
+def test_gradient_is_that_of_the_corrected_risk(monkeypatch):
+    """The first step of the fit goes against the finite differences of the risk (where its negative part is positive)."""
+    monkeypatch.setattr(toxicity, "STEPS", 1)
+    rng = np.random.default_rng(3)
+    for prior, hits in ((0.1, 0.3), (0.45, 0.95)):
+        rows = [np.flatnonzero(rng.random(6) < hits) for _ in range(40)]
+        positive, unlabelled = rows[:10], rows[10:]
+        base = np.log(prior / (1 - prior))
+
+        def risk(theta):
+            z = np.array([theta[6] + theta[r].sum() for r in rows])
+            soft = np.logaddexp(0, z)
+            negative = soft[10:].mean() - prior * soft[:10].mean()
+            assert negative > 0
+            return prior * np.logaddexp(0, -z[:10]).mean() + negative
+
+        start = np.append(np.zeros(6), base)
+        slopes = [(risk(start + h) - risk(start - h)) / 2e-5 for h in np.eye(7) * 1e-5]
+        weights, intercept = toxicity.nnpu_fit(positive, unlabelled, 6, prior)
+        moved = np.append(weights, intercept - base)
+        assert all(np.sign(m) == -np.sign(s) for m, s in zip(moved, slopes) if abs(s) > 1e-6)
