@@ -34,6 +34,12 @@ def plan(spark, name):
     return QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_neighbour_recommend_answers_every_customer(spark, con):
+    buyers = con.execute("SELECT count(DISTINCT o_custkey) FROM orders JOIN lineitem ON l_orderkey = o_orderkey").fetchone()[0]
+    got = QUERIES["neighbour_recommend"](spark, FOLDER)
+    assert got.select("user_id").distinct().count() == buyers > 1
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
