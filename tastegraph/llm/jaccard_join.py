@@ -10,18 +10,20 @@ shingles share at least l shingles. Each document picks its own l (1 to LEVELS)
 estimated cost: a longer prefix meets more postings, but more shared shingles are asked for
 before a pair is verified. The larger document of a pair probes with its l.
 
+Where two documents meet, both sizes are known: a similar pair has at least
+ceil(threshold * (size + other size) / (1 + threshold)) shingles in common, so of the prefixes
+only the first size - that + l shingles of each have to share l. This is about half of what the
+size alone asks for, and shingles that a document holds alone, which stand first, use it up.
+
 1. Equal sets form a class; only its document with the smallest ID goes on.
 2. Prefixes are exchanged as in ``exact_dedup`` (Golomb-coded, bitmaps back), so that only
    shingles that occur in two prefixes become rows.
 3. Star rounds: in the postings of a shingle each document is paired with a leader of another
    component, once with the one it shares most with; verified links join components. A group
    of near copies collapses here at a cost linear in its size.
-4. A second exchange, of the whole sets of the documents left, counts how many shingles of each
-   occur elsewhere at all. Shingles of its own can be in no intersection, which bounds the
-   similarity of a pair from above before it is formed.
-5. All remaining candidates: pairs of different components with l shared prefix shingles that
-   this bound admits. Every link joins documents of one component or is such a candidate,
-   so the components are exact.
+4. All remaining candidates: pairs of different components with l shared shingles in what both
+   sizes leave of their prefixes. Every link joins documents of one component or is such a
+   candidate, so the components are exact.
 
 Rows without an ID are linked with nothing and have no component. Rows that share an ID count as
 one node. Null and empty texts have no shingles; they are linked with nothing.
@@ -45,7 +47,7 @@ from tastegraph.session import discard, written
 
 WORDS, PERCENT = 5, 80
 SKETCH, CHUNK = 1 << 20, 1 << 12
-LEVELS, BLOCK_DOCS, BLOCK_TOKENS = 4, 2048, 1 << 19
+LEVELS, BLOCK_DOCS = 4, 2048
 # Cost of verifying a candidate, in postings read.
 VERIFY_COST = 20.0
 STAR_ROUNDS = 3
@@ -117,7 +119,10 @@ def _sum_chunk(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def choose_level(frequencies: np.ndarray, base: int, most: int) -> int:
-    """The l of least estimated cost, from the estimated frequencies of the longest prefix."""
+    """The l of least estimated cost, from the estimated frequencies of the longest prefix.
+
+    ``base``: how many of them are read with l = 1.
+    """
     reads = np.cumsum(frequencies)
     best, least = 1, np.inf
     for level in range(1, most + 1):
@@ -161,9 +166,10 @@ def _prefixes(sketch_sent, words: int, percent: int):
                 base = prefix_base(n, percent)
                 most = min(LEVELS, n - base + 1)
                 take = np.lexsort((found, counts))[: base + most - 1]
-                level = choose_level(np.maximum(1.0, counts[take] - noise), base, most)
-                places = np.maximum(1, np.arange(len(take)) - base + 2)
-                held.append((doc, found[take], n, level, places))
+                # What another set of this size is met with.
+                met = n - -(-2 * percent * n // (100 + percent)) + 1
+                level = choose_level(np.maximum(1.0, counts[take] - noise), met, most)
+                held.append((doc, found[take], n, level, np.arange(1, len(take) + 1)))
                 if len(held) >= BLOCK_DOCS:
                     yield block()
         if held:
@@ -172,50 +178,6 @@ def _prefixes(sketch_sent, words: int, percent: int):
     return run
 
 
-def _whole_sets(words: int):
-    """Blocks of documents with their whole sets: (block, tokens, docs, sizes)."""
-
-    def run(batches):
-        part, number = TaskContext.get().partitionId() << 24, 0
-        docs, sets, held = [], [], 0
-
-        def block():
-            data = [np.concatenate(sets).tobytes(), np.array(docs, np.int64).tobytes(), np.array([len(x) for x in sets], np.int64).tobytes()]
-            return pa.RecordBatch.from_arrays([pa.array([part + number], pa.int64()), *[pa.array([d], pa.binary()) for d in data]], ["block", "tokens", "docs", "sizes"])
-
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = shingles(text.as_py(), words)
-                docs.append(doc)
-                sets.append(found)
-                held += len(found)
-                if held >= BLOCK_TOKENS:
-                    number += 1
-                    yield block()
-                    docs, sets, held = [], [], 0
-        if docs:
-            number += 1
-            yield block()
-
-    return run
-
-
-def _shared_sizes(owners: int):
-    """(doc, n, common): how many shingles of a whole set occur in another one too."""
-
-    def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        bits = dict(zip(answers["owner"], answers["bits"]))
-        out = []
-        for b in blocks.itertuples():
-            keep = _flags(np.frombuffer(b.tokens, np.uint64), bits, owners)
-            sizes = np.frombuffer(b.sizes, np.int64)
-            whose = np.repeat(np.arange(len(sizes)), sizes)
-            out.append(pd.DataFrame({"doc": np.frombuffer(b.docs, np.int64), "n": sizes, "common": np.bincount(whose[keep], minlength=len(sizes))}))
-        return pd.concat(out, ignore_index=True)
-
-    return run
-
-
 def _flags(tokens: np.ndarray, bits: dict, owners: int) -> np.ndarray:
     """Which of a block's tokens the owners have found elsewhere too."""
     prints, place = np.unique(tokens >> np.uint64(8), return_inverse=True)
@@ -329,21 +291,28 @@ class _Components:
         discard(comp, links)
 
 
+def _common(n, m, percent: int):
+    """Shingles that similar sets of ``n`` and ``m`` shingles have in common at least."""
+    return -F.floor(-percent * (F.col(n) + F.col(m)) / (100 + percent))
+
+
 def _star_pairs(entries: DataFrame, percent: int, turn: int) -> DataFrame:
     """Each document with the leader of another component that it shares most shingles with."""
     chance = F.xxhash64("doc", F.lit(turn))
-    rank = F.struct(F.col("held") if turn == 0 else chance, "doc", "comp", "n")
+    rank = F.struct(F.col("held") if turn == 0 else chance, "doc", "comp", "n", "place")
     leaders = (
         entries.groupBy("token")
         .agg(F.max(rank).alias("leader"), F.min("comp").alias("low"), F.max("comp").alias("high"))
         .filter("low < high")
-        .select("token", F.col("leader.doc").alias("y"), F.col("leader.comp").alias("other"), F.col("leader.n").alias("m"))
+        .select("token", F.col("leader.doc").alias("y"), F.col("leader.comp").alias("other"), F.col("leader.n").alias("m"), F.col("leader.place").alias("at"))
     )
+    common = _common("n", "m", percent)
     met = entries.join(
         leaders,
         (entries["token"] == leaders["token"])
         & (F.col("comp") != F.col("other"))
-        & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")),
+        & (F.col("place") <= F.col("n") - common + LEVELS)
+        & (F.col("at") <= F.col("m") - common + LEVELS),
     ).select(F.col("doc").alias("x"), "y")
     shared = met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"))
     return shared.groupBy("x").agg(F.max(F.struct("shared", "y")).alias("best")).select("x", F.col("best.y").alias("y"))
@@ -355,25 +324,25 @@ def _unsettled(entries: DataFrame) -> DataFrame:
     return entries.join(spans.filter("low < high").select("token"), "token")
 
 
-def _exchanged(blocks: DataFrame, owners: int, run, schema: str) -> DataFrame:
-    """Send the blocks' shingles to their owners; ``run`` gets each block with the answers. Written."""
+def _exchanged(blocks: DataFrame, owners: int) -> DataFrame:
+    """Send the blocks' shingles to their owners; what two prefixes hold becomes rows. Written."""
     blocks = written(blocks)
     message = "owner long, block long, n long, k long, unary binary, rest binary, twice binary"
     answers = blocks.select("block", "tokens").mapInArrow(_messages(owners), message).groupBy("owner").applyInPandas(_answers, "block long, owner long, bits binary")
-    found = written(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(run, schema))
+    schema = "token long, doc long, held long, n long, place long, level long"
+    found = written(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_shared(owners), schema))
     discard(blocks)
     return found
 
 
 def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Candidates of different components: the larger document probes with its l."""
-    rows = entries.select("token", "doc", "n", "place", "level", "comp", "common")
-    probe = rows.select("token", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"), "level", F.col("comp").alias("cx"), F.col("common").alias("sx")).filter("px <= level")
-    index = rows.select("token", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"), F.col("comp").alias("cy"), F.col("common").alias("sy"))
+    probe = entries.select("token", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"), "level", F.col("comp").alias("cx"))
+    index = entries.select("token", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"), F.col("comp").alias("cy"))
     larger = (F.col("nx") > F.col("ny")) | (F.col("nx") == F.col("ny")) & (F.col("x") > F.col("y"))
-    most = F.least("sx", "sy")
-    near = (100 * F.col("ny") >= percent * F.col("nx")) & (100 * most >= percent * (F.col("nx") + F.col("ny") - most))
-    met = probe.join(index, (probe["token"] == index["token"]) & (F.col("cx") != F.col("cy")) & larger & near & (F.col("py") <= F.col("level")))
+    common = _common("nx", "ny", percent)
+    near = (F.col("px") <= F.col("nx") - common + F.col("level")) & (F.col("py") <= F.col("ny") - common + F.col("level"))
+    met = probe.join(index, (probe["token"] == index["token"]) & (F.col("cx") != F.col("cy")) & larger & near & (100 * F.col("ny") >= percent * F.col("nx")))
     counted = met.groupBy("x", "y", "nx", "ny").agg(F.countDistinct(probe["token"]).alias("shared"), F.min("level").alias("level"))
     return counted.filter("shared >= level").select("x", "y").distinct()
 
@@ -403,7 +372,7 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
     reps = without(alone, member.filter("id <> rep").select("id", "hash", "len"), "text", "id")
 
     blocks = reps.select("id", "text").mapInArrow(handing_back(_prefixes(sent, words, percent)), "block long, tokens binary, docs binary, sizes binary, info binary")
-    kept = _exchanged(blocks, owners, _shared(owners), "token long, doc long, held long, n long, place long, level long")
+    kept = _exchanged(blocks, owners)
     entries, held = kept.withColumn("comp", F.col("doc")), kept
     alive = written(entries.select("doc").distinct())
     comps = _Components(alive)
@@ -420,10 +389,7 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
         entries = written(_unsettled(entries.drop("comp").join(comps.of, "doc")))
         discard(held)
         held = entries
-    asked = _of_docs(texts, entries.select("doc").distinct())
-    whole = _exchanged(asked.select("doc", "text").mapInArrow(handing_back(_whole_sets(words)), "block long, tokens binary, docs binary, sizes binary"), owners, _shared_sizes(owners), "doc long, n long, common long")
-    common = whole.groupBy("doc", "n").agg(F.max("common").alias("common"))
-    rest = _all_pairs(entries.join(common, ["doc", "n"]).filter(100 * F.col("common") >= percent * F.col("n")), percent)
+    rest = _all_pairs(entries, percent)
     comps.join(_links(written(rest if tested is None else _untested(rest, tested)), texts, words, percent))
 
     # Documents that share an ID, or are equal, follow their representative; IDs are nodes.

@@ -66,6 +66,26 @@ def test_large_near_copy_group(spark):
     check(spark, rows)
 
 
+def test_large_group_below_the_threshold_forms_few_pairs(spark, monkeypatch):
+    """Twins share the edits of an original; apart from them nearly all pairs are at 0.5 to 0.8."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(0, 160, 2):
+        words = [f"w{k}" for k in range(200)]
+        for k in rng.sample(range(200), 6):
+            words[k] = f"y{rng.randrange(10**6)}"
+        rows += [(i, " ".join(words)), (i + 1, " ".join([*words, f"z{i}"]))]
+    formed, links = [], jaccard_join._links
+
+    def counted(pairs, *rest):
+        formed.append(pairs.count())
+        return links(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_links", counted)
+    check(spark, rows)
+    assert sum(formed) < 5 * len(rows)
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     check(spark, [(r.doc_id, r.text) for r in docs.collect()])
