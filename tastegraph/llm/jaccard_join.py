@@ -20,7 +20,8 @@ size alone asks for, and shingles that a document holds alone, which stand first
    shingles that occur in two prefixes become rows.
 3. Star rounds: in the postings of a shingle each document is paired with a leader of another
    component, once with the one it shares most with; verified links join components. A group
-   of near copies collapses here at a cost linear in its size.
+   of near copies collapses here at a cost linear in its size. The rounds end when
+   fewer than half of the pairs are links.
 4. All remaining candidates: pairs of different components with l shared shingles in what both
    sizes leave of their prefixes. Every link joins documents of one component or is such a
    candidate, so the components are exact.
@@ -338,7 +339,8 @@ def _exchanged(blocks: DataFrame, owners: int) -> DataFrame:
 def _all_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Candidates of different components: the larger document probes with its l."""
     probe = entries.select("token", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"), "level", F.col("comp").alias("cx"))
-    index = entries.select("token", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"), F.col("comp").alias("cy"))
+    probe = probe.filter(F.col("px") <= F.col("nx") + F.floor(-percent * F.col("nx") / 100) + F.col("level"))
+    index = entries.filter(F.col("place") <= F.col("n") - _common("n", "n", percent) + LEVELS).select("token", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"), F.col("comp").alias("cy"))
     larger = (F.col("nx") > F.col("ny")) | (F.col("nx") == F.col("ny")) & (F.col("x") > F.col("y"))
     common = _common("nx", "ny", percent)
     near = (F.col("px") <= F.col("nx") - common + F.col("level")) & (F.col("py") <= F.col("ny") - common + F.col("level"))
@@ -384,9 +386,15 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
         if pairs.isEmpty():
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
-        comps.join(_links(pairs, texts, words, percent))
+        links = _links(pairs, texts, words, percent)
+        few = 2 * links.count() < pairs.count()
+        comps.join(links)
+        entries = entries.drop("comp").join(comps.of, "doc")
+        if few:
+            # Mostly pairs that are no links: what is left is cheaper to meet directly.
+            break
         # Shingles whose documents are all of one component have no more to say.
-        entries = written(_unsettled(entries.drop("comp").join(comps.of, "doc")))
+        entries = written(_unsettled(entries))
         discard(held)
         held = entries
     rest = _all_pairs(entries, percent)
