@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from tastegraph.functions.skew import HOT_SHARE
 
-# Bits of the broadcast filter of ``passing``: 2**26 bits are 2048 bitmaps of 4 KB, 8 MB in
+# Most bits of the broadcast filter of ``passing``: 2**26 bits are 2048 bitmaps of 4 KB, 8 MB in
 # all, whatever the number of keys.
 FILTER_BITS = 1 << 26
+# Bits for each key where the keys are counted first: of other rows one in so many passes at most.
+BITS_A_KEY = 256
+BITMAP_BITS = 1 << 15
 
 
 # Most bytes of rows that go to a Python worker in one batch.
@@ -53,12 +56,17 @@ def crc32_mod(key: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def key_filter(keys: DataFrame, key: str) -> DataFrame:
-    """``keys`` (hashes, bigint) folded into bitmaps of FILTER_BITS bits in all.
+def filter_bits(keys: int) -> int:
+    """Bits of a filter of so many keys: the driver holds every broadcast several times over."""
+    return min(FILTER_BITS, max(BITMAP_BITS, 1 << (BITS_A_KEY * keys - 1).bit_length()))
+
+
+def key_filter(keys: DataFrame, key: str, bits: int | None = None) -> DataFrame:
+    """``keys`` (hashes, bigint) folded into bitmaps of ``bits`` bits in all, default FILTER_BITS.
 
     They are small enough to broadcast whatever the number of keys.
     """
-    bit = F.pmod(F.col(key), F.lit(FILTER_BITS))
+    bit = F.pmod(F.col(key), F.lit(bits or FILTER_BITS))
     return (
         keys.filter(F.col(key).isNotNull())
         .select(F.bitmap_bucket_number(bit).alias("_bucket"), F.bitmap_bit_position(bit).alias("_place"))
@@ -67,13 +75,13 @@ def key_filter(keys: DataFrame, key: str) -> DataFrame:
     )
 
 
-def in_filter(rows: DataFrame, key: Column, bitmaps: DataFrame, passing: bool = True) -> DataFrame:
-    """Rows whose ``key`` (a hash, bigint) is perhaps among those of ``key_filter``.
+def in_filter(rows: DataFrame, key: Column, bitmaps: DataFrame, passing: bool = True, bits: int | None = None) -> DataFrame:
+    """Rows whose ``key`` (a hash, bigint) is perhaps among those of ``key_filter`` with the same ``bits``.
 
     A few other rows pass, so an exact step has to follow; it saves shuffling whole texts of
     rows that cannot be meant. ``passing=False``: the other rows, all of which are certain.
     """
-    mine = F.pmod(key, F.lit(FILTER_BITS))
+    mine = F.pmod(key, F.lit(bits or FILTER_BITS))
     place = F.bitmap_bit_position(mine)
     byte = F.conv(F.hex(F.substring("_bitmap", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     is_set = F.coalesce(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1, F.lit(False))
@@ -109,14 +117,15 @@ def packed(rows: DataFrame, *more: Column) -> DataFrame:
 
 
 def without(rows: DataFrame, dropped: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """``rows`` less those whose ``text_key`` is in ``dropped`` (id, hash, len).
+    """``rows`` less those whose ``text_key`` is in ``dropped`` (id, hash, len), a written table.
 
     Rows that are certainly not meant stay where they are; only the rest is joined.
     """
     held = packed(rows, *text_key(id_col, text_col))
-    bits = key_filter(dropped, "hash")
-    certain = in_filter(held, F.col("hash"), bits, passing=False)
-    maybe = in_filter(held, F.col("hash"), bits)
+    size = filter_bits(dropped.count())
+    bits = key_filter(dropped, "hash", size)
+    certain = in_filter(held, F.col("hash"), bits, passing=False, bits=size)
+    maybe = in_filter(held, F.col("hash"), bits, bits=size)
     gone = dropped.select("id", "hash", "len").distinct().withColumn("gone", F.lit(True))
     same = [maybe[n].eqNullSafe(gone[n]) for n in ("id", "hash", "len")]
     # No anti join: the optimizer would move it below the filter and shuffle every text.

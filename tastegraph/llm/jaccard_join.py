@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.functions.ordering import dense_position
-from tastegraph.llm.common import handing_back, in_filter, key_filter, packed, text_key, without
+from tastegraph.llm.common import filter_bits, handing_back, in_filter, key_filter, packed, text_key, without
 from tastegraph.llm.components import components
 from tastegraph.llm.exact_dedup import _answers, _owners, golomb_encode
 from tastegraph.session import discard, written
@@ -259,15 +259,16 @@ def _verified(words: int, percent: int):
     return run
 
 
-def _of_docs(texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """The rows (doc, text) of these documents, and a few others; nothing is shuffled."""
-    return in_filter(texts, F.xxhash64("doc"), key_filter(docs.select(F.xxhash64("doc").alias("key")), "key"))
+def _of_docs(texts: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """The rows (doc, text) of these ``n`` documents, and a few others; nothing is shuffled."""
+    size = filter_bits(n)
+    return in_filter(texts, F.xxhash64("doc"), key_filter(docs.select(F.xxhash64("doc").alias("key")), "key", size), bits=size)
 
 
-def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (x, y) whose texts are similar, as (a, b)."""
-    one = _of_docs(texts, pairs.select(F.col("x").alias("doc"))).select(F.col("doc").alias("x"), F.col("text").alias("text_x"))
-    other = _of_docs(texts, pairs.select(F.col("y").alias("doc"))).select(F.col("doc").alias("y"), F.col("text").alias("text_y"))
+def _links(pairs: DataFrame, n: int, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the ``n`` pairs (x, y) whose texts are similar, as (a, b)."""
+    one = _of_docs(texts, pairs.select(F.col("x").alias("doc")), n).select(F.col("doc").alias("x"), F.col("text").alias("text_x"))
+    other = _of_docs(texts, pairs.select(F.col("y").alias("doc")), n).select(F.col("doc").alias("y"), F.col("text").alias("text_y"))
     rows = pairs.select("x", "y").join(one, "x").join(other, "y").select("x", "y", "text_x", "text_y")
     return written(rows.mapInArrow(handing_back(_verified(words, percent)), "a long, b long").distinct())
 
@@ -365,7 +366,7 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
     sketch = np.zeros(SKETCH, np.int64)
     for row in chunks.collect():  # SKETCH counters, whatever the size of the corpus
         sketch[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, np.int64)
-    sent = spark.sparkContext.broadcast(sketch)
+    sent = spark.sparkContext.broadcast(np.minimum(sketch, (1 << 31) - 1).astype(np.int32))
 
     known = sets.filter("n > 0 AND id IS NOT NULL")
     classes = written(known.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")).filter("copies > 1"))
@@ -375,19 +376,20 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
 
     blocks = reps.select("id", "text").mapInArrow(handing_back(_prefixes(sent, words, percent)), "block long, tokens binary, docs binary, sizes binary, info binary")
     kept = _exchanged(blocks, owners)
+    sent.destroy()  # the prefixes are written
     entries, held = kept.withColumn("comp", F.col("doc")), kept
     alive = written(entries.select("doc").distinct())
     comps = _Components(alive)
-    texts = written(_of_docs(reps.select(F.col("id").alias("doc"), "text"), alive))
+    texts = written(_of_docs(reps.select(F.col("id").alias("doc"), "text"), alive, alive.count()))
     tested = None
     for turn in range(STAR_ROUNDS):
         pairs = _star_pairs(entries, percent, turn)
         pairs = written(pairs if tested is None else _untested(pairs, tested))
-        if pairs.isEmpty():
+        if (n := pairs.count()) == 0:
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = _links(pairs, texts, words, percent)
-        few = 2 * links.count() < pairs.count()
+        links = _links(pairs, n, texts, words, percent)
+        few = 2 * links.count() < n
         comps.join(links)
         entries = entries.drop("comp").join(comps.of, "doc")
         if few:
@@ -398,7 +400,8 @@ def similar_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
         discard(held)
         held = entries
     rest = _all_pairs(entries, percent)
-    comps.join(_links(written(rest if tested is None else _untested(rest, tested)), texts, words, percent))
+    rest = written(rest if tested is None else _untested(rest, tested))
+    comps.join(_links(rest, rest.count(), texts, words, percent))
 
     # Documents that share an ID, or are equal, follow their representative; IDs are nodes.
     ties = comps.of.select(F.col("doc").alias("a"), F.col("comp").alias("b")).unionByName(member.select(F.col("id").alias("a"), F.col("rep").alias("b")))
@@ -440,7 +443,7 @@ def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     named = found.withColumnRenamed("id", "node").join(nodes.select("node", "id"), "node", "left")
     told = named.select(F.struct(F.coalesce("id", "node").alias("id"), "hash", "len").alias("own"), "component_id").filter("own.id IS NOT NULL")
     stays = told.groupBy("component_id").agg(F.min("own").alias("stays"))
-    gone = told.join(stays, "component_id").filter("own <> stays").select("own.*")
+    gone = written(told.join(stays, "component_id").filter("own <> stays").select("own.*"))
     rows = without(held, gone, "_text", "_id")
     again = keys.groupBy("id", "hash", "len").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     bits = key_filter(again.select(F.xxhash64("id").alias("key")), "key")

@@ -1,0 +1,55 @@
+import random
+
+from pyspark.sql import functions as F
+
+from tastegraph.llm import common, jaccard_join
+from tests.llm.frames import frame
+
+
+def held_bytes(bitmaps):
+    return bitmaps.agg(F.sum(F.length("_bitmap"))).head()[0] or 0
+
+
+def test_filter_of_counted_keys(spark):
+    """It passes every key and few other rows, and takes bytes by its keys."""
+    n = 1000
+    size = common.filter_bits(n)
+    rows = spark.range(20 * n).select("id", F.xxhash64("id").alias("key"))
+    bitmaps = common.key_filter(rows.filter(F.col("id") < n), "key", size)
+    assert held_bytes(bitmaps) <= 64 * n + 8192
+    passed = {r.id for r in common.in_filter(rows, F.col("key"), bitmaps, bits=size).collect()}
+    rest = {r.id for r in common.in_filter(rows, F.col("key"), bitmaps, passing=False, bits=size).collect()}
+    assert passed >= set(range(n)) and len(passed) < n + 2 * 20 * n / common.BITS_A_KEY
+    assert not passed & rest and len(passed | rest) == 20 * n
+
+
+def test_filter_bits():
+    assert common.filter_bits(0) == common.filter_bits(1) == common.BITMAP_BITS
+    assert common.filter_bits(1 << 40) == common.FILTER_BITS
+    for n in (129, 1000, 4096, 100_000):
+        assert common.BITS_A_KEY * n <= common.filter_bits(n) < 2 * common.BITS_A_KEY * n
+
+
+def test_broadcasts_of_the_jaccard_stage_follow_its_keys(spark, monkeypatch):
+    """The driver holds every broadcast: a few hundred documents need no filter of megabytes."""
+    made, whole = [], common.key_filter
+
+    def recorded(keys, key, *bits):
+        bitmaps = whole(keys, key, *bits)
+        made.append((keys.count(), held_bytes(bitmaps)))
+        return bitmaps
+
+    for module in (common, jaccard_join):
+        monkeypatch.setattr(module, "key_filter", recorded)
+    rng = random.Random(3)
+    rows = []
+    for g in range(150):
+        base = [f"g{g}w{i}" for i in range(60)]
+        for _ in range(2):
+            rows.append((len(rows), " ".join(base[:30] + [f"x{rng.randrange(9999)}"] + base[31:])))
+        rows.append((len(rows), " ".join(base).replace(" ", "  ")))
+        rows.append((len(rows), " ".join(base)))
+    left = sorted(r.doc_id for r in jaccard_join.one_of_each(frame(spark, rows), owners=3).collect())
+    assert left == list(range(0, 600, 4))
+    assert max(keys for keys, _ in made) >= 300
+    assert all(size <= 64 * keys + 8192 for keys, size in made), made
