@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from tastegraph.session import discard, written
 
 
-def _is_stars(edges: DataFrame) -> bool:
+def _neighbours(edges: DataFrame) -> DataFrame:
+    """(a, b): every edge from both of its ends."""
+    return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _least(edges: DataFrame) -> DataFrame:
+    """(a, m, up, down) of every node a: its smallest neighbour, how many are smaller, is any larger. Written."""
+    smaller = F.sum((F.col("b") < F.col("a")).cast("bigint"))
+    return written(_neighbours(edges).groupBy("a").agg(F.min("b").alias("m"), smaller.alias("up"), F.max(F.col("b") > F.col("a")).alias("down")))
+
+
+def _is_stars(least: DataFrame) -> bool:
     """Does every node that points to a smaller one point to one only, which points nowhere?"""
-    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
-        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
-    )
-    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-    return nodes.agg(F.max((F.col("up") > 1) | (F.col("up") > 0) & (F.col("down") > 0))).head()[0] is not True
+    return least.agg(F.max((F.col("up") > 1) | (F.col("up") > 0) & F.col("down"))).head()[0] is not True
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,18 +29,19 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps: every node hands its neighbours over to the
     smallest one it knows, until each component is a star. Minima are aggregated before the
-    shuffle. Each round is written, so a lost executor does not undo the rounds before.
+    shuffle. Each round is written, so a lost executor does not undo the rounds before; so are
+    the minima, which the test for stars and the large star both read.
     """
     now = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    while not _is_stars(now):
+    while not _is_stars(nearest := _least(now)):
         # Large star: the larger neighbours of a node go to its minimum.
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = nearest.select("a", F.least("a", "m").alias("m"))
+        large = _neighbours(now).filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: the smaller neighbours and the node itself go to its minimum.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         before, now = now, written(small.filter("a <> b").distinct())
-        discard(before)
+        discard(before, nearest)
+    discard(nearest)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

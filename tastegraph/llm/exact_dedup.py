@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.common import attach_left, fold_ascii, in_filter, key_filter, packed
+from tastegraph.llm.common import attach_left, filter_bits, fold_ascii, in_filter, key_filter, packed
 from tastegraph.session import written
 
 BLOCK_ROWS = 1 << 16
@@ -177,7 +177,9 @@ def _classes(docs: DataFrame, marked: DataFrame, text_col: str) -> DataFrame:
     """(sha, n, best) of every text that occurs more than once; best: (id, row) that stays."""
     suspects = marked.filter("suspect")
     texts = docs.select(fold_ascii(F.coalesce(F.col(text_col), F.lit(""))).alias("normal"), _sha(text_col).alias("sha"))
-    shuffled = in_filter(texts, _short("sha"), key_filter(suspects.select(_short("sha").alias("key")), "key"))
+    size = filter_bits(suspects.count())
+    bits = key_filter(suspects.select(_short("sha").alias("key")), "key", size)
+    shuffled = in_filter(texts, _short("sha"), bits, bits=size)
     # Equal bytes only: a sha that two different texts had would show here as two groups.
     verified = (
         shuffled.groupBy("sha", "normal").agg(F.count(F.lit(1)).alias("copies")).groupBy("sha").agg(F.count(F.lit(1)).alias("texts"))
@@ -214,9 +216,10 @@ def deduplicate(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     marked = marked_rows(docs, text_col, id_col, owners)
     classes = _classes(docs, marked, text_col).select("sha", F.col("best.id").alias("_best"))
     rows = packed(docs, _sha(text_col).alias("_sha"), F.col(id_col).alias("_id"))
-    bits = key_filter(classes.select(_short("sha").alias("key")), "key")
-    unique = in_filter(rows, _short("_sha"), bits, passing=False)
-    maybe = in_filter(rows, _short("_sha"), bits)
+    size = filter_bits(classes.count())
+    bits = key_filter(classes.select(_short("sha").alias("key")), "key", size)
+    unique = in_filter(rows, _short("_sha"), bits, passing=False, bits=size)
+    maybe = in_filter(rows, _short("_sha"), bits, bits=size)
     stays = maybe.join(classes, F.col("_sha") == F.col("sha"), "left").filter(F.col("sha").isNull() | F.col("_best").eqNullSafe(F.col("_id")))
     alone = stays.filter(F.col("sha").isNull())
     best = stays.filter(F.col("sha").isNotNull()).dropDuplicates(["_sha"])

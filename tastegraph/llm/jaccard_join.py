@@ -414,14 +414,26 @@ def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
     return pairs.join(both, ["x", "y"], "left_anti")
 
 
-def _nodes(keys: DataFrame) -> DataFrame:
+def _repeated(keys: DataFrame) -> DataFrame:
+    """(id, low, high) of the IDs that several rows have, with the smallest and the largest of their texts. Written."""
+    text = F.struct("hash", "len")
+    texts = keys.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min(text).alias("low"), F.max(text).alias("high"))
+    return written(texts.filter("n > 1").drop("n"))
+
+
+def _nodes(keys: DataFrame, repeated: DataFrame) -> DataFrame:
     """(id, hash, len, node) of the IDs that stand for several texts: a number below all IDs for each."""
-    texts = keys.groupBy("id").agg(F.min(F.struct("hash", "len")).alias("low"), F.max(F.struct("hash", "len")).alias("high"))
-    several = keys.join(texts.filter("low < high").select("id"), "id").distinct()
+    several = keys.join(repeated.filter("low < high").select("id"), "id").distinct()
     lowest = keys.agg(F.min("id")).scalar()
     return written(dense_position(written(several), ["id", "hash", "len"], "place").withColumn("node", lowest - 1 - F.col("place")).drop("place"))
 
 
+def _others(told: DataFrame) -> DataFrame:
+    """Of rows (own, component_id) the own (id, hash, len) that are not their component's smallest. Written."""
+    stays = told.groupBy("component_id").agg(F.min("own").alias("stays"))
+    return written(told.join(stays, "component_id").filter("own <> stays").select("own.*"))
+
+
 def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest ID.
 
@@ -432,7 +444,12 @@ def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     held = packed(docs, F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     key = text_key("_id", "_text")
     keys = held.select(*key).filter("id IS NOT NULL")
-    nodes = _nodes(keys)
+    repeated = _repeated(keys)
+    if repeated.isEmpty():  # every ID is a node: no row has to be told apart
+        found = written(similar_documents(held.select("_id", "_text"), "_text", "_id", **options))
+        gone = _others(found.filter("id IS NOT NULL").select(F.struct("id", "hash", "len").alias("own"), "component_id"))
+        return without(held, gone, "_text", "_id").select("row.*")
+    nodes = _nodes(keys, repeated)
     bits = key_filter(nodes.select(F.xxhash64("id").alias("key")), "key")
     narrow = held.select("_id", "_text", key[1], key[2])
     certain = in_filter(narrow, F.xxhash64("_id"), bits, passing=False).select(F.col("_id").alias("_node"), "_text")
@@ -442,9 +459,7 @@ def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
     named = found.withColumnRenamed("id", "node").join(nodes.select("node", "id"), "node", "left")
     told = named.select(F.struct(F.coalesce("id", "node").alias("id"), "hash", "len").alias("own"), "component_id").filter("own.id IS NOT NULL")
-    stays = told.groupBy("component_id").agg(F.min("own").alias("stays"))
-    gone = written(told.join(stays, "component_id").filter("own <> stays").select("own.*"))
-    rows = without(held, gone, "_text", "_id")
+    rows = without(held, _others(told), "_text", "_id")
     again = keys.groupBy("id", "hash", "len").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     bits = key_filter(again.select(F.xxhash64("id").alias("key")), "key")
     single = in_filter(rows, F.xxhash64("_id"), bits, passing=False)

@@ -57,22 +57,24 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     """``cells`` (margins, base) with ``weight``: raked to ``targets`` (value, target) of each margin.
 
     Targets are shares; they need not add up to one. Values without a target get weight 0. After
-    each round the cells are written: the plan stays short and nothing is computed twice.
+    each margin the cells are written: a plan holds one join, where those of a whole round in one
+    would read the cells eight times and have the driver hold seven broadcasts.
     """
     weights = cells.withColumn("weight", F.col("base").cast("double"))
+    goals = []
     for margin, target in targets.items():
+        target = written(target)
+        goals.append(target)
         total = target.agg(F.sum("target")).head()[0] or 1.0
         share = target.select(F.col("value").alias(margin), (F.col("target") / total).alias(f"share{margin}"))
         weights = weights.join(share, margin, "left")
     weights = written(weights.fillna(0.0, [f"share{m}" for m in targets]))
-    for _ in range(rounds):
-        before = weights
-        for margin in targets:
-            # Every cell knows its value's share, so a margin takes one join.
-            factor = F.when(F.sum("weight") > 0, F.max(f"share{margin}") / F.sum("weight")).otherwise(0.0)
-            weights = weights.join(weights.groupBy(margin).agg(factor.alias("factor")), margin)
-            weights = weights.withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        weights = written(weights)
+    discard(*goals)
+    for margin in [*targets] * rounds:
+        # Every cell knows its value's share, so a margin takes one join.
+        factor = F.when(F.sum("weight") > 0, F.max(f"share{margin}") / F.sum("weight")).otherwise(0.0)
+        scaled = weights.join(weights.groupBy(margin).agg(factor.alias("factor")), margin)
+        before, weights = weights, written(scaled.withColumn("weight", F.col("weight") * F.col("factor")).drop("factor"))
         discard(before)
     return weights.select(*cells.columns, "weight")
 

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tastegraph.llm import common, jaccard_join
+from tastegraph.llm import common, exact_dedup, jaccard_join, mixing
 from tests.llm.frames import frame
 
 
@@ -53,3 +53,40 @@ def test_broadcasts_of_the_jaccard_stage_follow_its_keys(spark, monkeypatch):
     assert left == list(range(0, 600, 4))
     assert max(keys for keys, _ in made) >= 300
     assert all(size <= 64 * keys + 8192 for keys, size in made), made
+
+
+def test_broadcasts_of_exact_dedup_follow_its_keys(spark, monkeypatch):
+    made, whole = [], common.key_filter
+
+    def recorded(keys, key, *bits):
+        bitmaps = whole(keys, key, *bits)
+        made.append((keys.count(), held_bytes(bitmaps)))
+        return bitmaps
+
+    monkeypatch.setattr(exact_dedup, "key_filter", recorded)
+    docs = frame(spark, [(i, f"text {i // 2 if i < 600 else i}") for i in range(1000)])
+    left = sorted(r.doc_id for r in exact_dedup.deduplicate(docs, owners=3).collect())
+    assert left == [*range(1, 600, 2), *range(600, 1000)]
+    assert sorted(keys for keys, _ in made) == [300, 600]
+    assert all(size <= 64 * keys + 8192 for keys, size in made), made
+
+
+def test_raking_plans_read_the_cells_twice_at_most(spark, monkeypatch):
+    """The driver holds a broadcast for every join of a plan."""
+    plans, whole = [], mixing.written
+
+    def recorded(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return whole(df)
+
+    cells = [(s, g, t, 1 + s + 2 * g + t) for s in range(4) for g in range(3) for t in range(2)]
+    cells = whole(spark.createDataFrame(cells, "_s long, _g long, _t long, base long"))
+    goals = {m: mixing.tempered(cells, m, 0.5) for m in ("_s", "_g", "_t")}
+    monkeypatch.setattr(mixing, "written", recorded)
+    raked = mixing.rake(cells, goals, rounds=2)
+    shares = dict(raked.groupBy("_t").agg(F.sum("weight")).collect())
+    wanted = {r.value: r.target for r in goals["_t"].collect()}
+    total = sum(wanted.values())
+    assert all(abs(shares[t] - wanted[t] / total) < 1e-9 for t in wanted)
+    rounds = [p for p in plans if "factor" in p]
+    assert len(rounds) == 6 and all(p.count("Relation [") <= 2 and p.count("Join ") == 1 for p in rounds), rounds

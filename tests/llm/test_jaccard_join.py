@@ -106,3 +106,11 @@ def test_different_texts_under_one_id_are_judged_each(spark):
     kept = jaccard_join.one_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(2, "x y z"), (2, "entirely other words here now then"), (1, base)])
+
+
+def test_distinct_ids_are_not_told_apart(spark, monkeypatch):
+    """Without an ID on several rows no row is numbered, and no plan reads the documents twice for it."""
+    monkeypatch.setattr(jaccard_join, "_nodes", None)
+    base = " ".join(f"w{i}" for i in range(60))
+    docs = frame(spark, [(2, base + " end"), (1, base), (5, "x y z"), (None, base), (None, base), (7, "X y  z"), (8, None)])
+    assert sorted(r.doc_id or 0 for r in jaccard_join.one_of_each(docs, owners=3).collect()) == [0, 0, 1, 5, 8]
