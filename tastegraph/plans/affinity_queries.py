@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tastegraph.operators import affinity, shaping
 from tastegraph.plans import bindings as b
 from tastegraph.plans.bindings import with_ctes
-from tastegraph.session import written
+from tastegraph.session import discard, one_by_one, written
 from tastegraph.sources.catalog import Tables
 
 QUERIES: dict = {}
@@ -25,31 +25,27 @@ def query(name, sql):
     return register
 
 
-def inputs(t):
-    """(pairs, prefs, mods, context, item attributes) taken from the purchases."""
-    bought = written(b.purchases(t))
-    attrs = shaping.melt_attributes(b.items(t), "item_id", ATTRS)
+# Purchases of the users that a round takes, on average.
+ROUND_ROWS = 6_000_000
+
+
+def inputs(bought, wide, attrs):
+    """(pairs, prefs, mods, context, item attributes) taken from the purchases; ``wide`` has the items' attributes."""
     prefs = (
-        bought.join(attrs, "item_id")
+        shaping.melt_attributes(wide, "user_id", ATTRS)
         .groupBy("user_id", "attr", "val")
         .agg(F.least(F.lit(9), F.count("*")).cast("int").alias("score"))
     )
-    with_items = bought.join(b.items(t), "item_id")
     size = (F.col("quantity").cast("int") % 5 + 1) * F.when(F.col("flag") == "N", 1).otherwise(-1)
-    mod_columns = ["user_id", "ctx_cat", "ctx_val", F.col("item_id").alias("mod_seq"), "attr", "val", "delta"]
-    by_priority = with_items.select(
-        "user_id", "item_id", F.lit("priority").alias("ctx_cat"), F.col("priority").alias("ctx_val"),
-        F.lit("kind").alias("attr"), F.col("kind").alias("val"), size.alias("delta"),
-    )
-    by_flag = with_items.select(
-        "user_id", "item_id", F.lit("flag").alias("ctx_cat"), F.col("flag").alias("ctx_val"),
-        F.lit("kind").alias("attr"), F.col("kind").alias("val"), (-size).alias("delta"),
-    )
-    by_colour = with_items.select(
-        "user_id", "item_id", F.lit("priority").alias("ctx_cat"), F.col("priority").alias("ctx_val"),
-        F.lit("colour").alias("attr"), F.col("colour").alias("val"), size.alias("delta"),
-    )
-    mods = by_priority.unionByName(by_flag).unionByName(by_colour).select(*mod_columns)
+
+    def mod(category, attr, delta):
+        return F.struct(
+            F.lit(category).alias("ctx_cat"), F.col(category).alias("ctx_val"), F.col("item_id").alias("mod_seq"),
+            F.lit(attr).alias("attr"), F.col(attr).alias("val"), delta.alias("delta"),
+        )
+
+    each = F.array(mod("priority", "kind", size), mod("flag", "kind", -size), mod("priority", "colour", size))
+    mods = wide.select("user_id", F.inline(each))
     latest = bought.groupBy("user_id").agg(F.max(F.struct("quantity", "item_id", "priority", "flag")).alias("_last"))
     entries = F.array(
         F.struct(F.lit(1).alias("ctx_seq"), F.lit("priority").alias("ctx_cat"), F.col("_last.priority").alias("ctx_val")),
@@ -59,6 +55,20 @@ def inputs(t):
     return bought.select("user_id", "item_id"), prefs, mods, context, attrs
 
 
+def in_rounds(t, scored):
+    """``scored`` of the inputs, by rounds of users: what a round shuffles is gone before the next, however many users there are."""
+    items = b.items(t)
+    attrs = shaping.melt_attributes(items, "item_id", ATTRS)
+    bought = written(b.purchases(t))
+    wide = written(bought.join(items.hint("merge"), "item_id"))
+    rounds = max(1, -(-bought.count() // ROUND_ROWS))
+    turn = F.pmod(F.xxhash64("user_id"), F.lit(rounds))
+    found = one_by_one(scored(*inputs(bought.filter(turn == r), wide.filter(turn == r), attrs)) for r in range(rounds))
+    if rounds > 1:
+        discard(bought, wide)
+    return found
+
+
 _SQL = {
     "attrs": "SELECT item_id, attr, val FROM items UNPIVOT (val FOR attr IN (colour, kind, brand, style))",
     "prefs": """SELECT user_id, attr, val, least(9, count(*))::INTEGER AS score
@@ -96,14 +106,15 @@ def _round(df, *names):
         FROM scored GROUP BY 1, 2"""),
 )
 def score(t):
-    pairs, prefs, _, _, attrs = inputs(t)
-    return _round(affinity.affinity_score(pairs, prefs, attrs, LO, HI), "affinity")
+    def scored(pairs, prefs, mods, context, attrs):
+        return _round(affinity.affinity_score(pairs, prefs, attrs, LO, HI), "affinity")
+
+    return in_rounds(t, scored)
 
 
 @query("apply_context_mods", _sql("SELECT user_id, attr, val, score, adj_score FROM adjusted"))
 def adjusted_prefs(t):
-    _, prefs, mods, context, _ = inputs(t)
-    return affinity.apply_context_mods(prefs, mods, context, LO, HI)
+    return in_rounds(t, lambda pairs, prefs, mods, context, attrs: affinity.apply_context_mods(prefs, mods, context, LO, HI))
 
 
 @query(
@@ -112,9 +123,10 @@ def adjusted_prefs(t):
         round({LO}.0::DOUBLE + sum(adj_score) * {HI - LO}.0::DOUBLE / 40, 6) AS rating_in_this_context FROM scored GROUP BY 1, 2"""),
 )
 def in_context(t):
-    pairs, prefs, mods, context, attrs = inputs(t)
-    rated = affinity.context_affinity(pairs, prefs, mods, context, attrs, LO, HI)
-    return _round(rated, "rating_ignore_context", "rating_in_this_context")
+    def scored(*frames):
+        return _round(affinity.context_affinity(*frames, LO, HI), "rating_ignore_context", "rating_in_this_context")
+
+    return in_rounds(t, scored)
 
 
 @query(
@@ -124,9 +136,7 @@ def in_context(t):
               FROM scored GROUP BY 1, 2)"""),
 )
 def observed(t):
-    pairs, prefs, _, _, attrs = inputs(t)
-    rated = _round(affinity.affinity_score(pairs, prefs, attrs, LO, HI), "affinity")
-    shown = affinity.observed_rating(rated, "affinity")
+    shown = affinity.observed_rating(score(t), "affinity")
     return shown.select("user_id", "item_id", "observed_rating", "rounded_observed_rating")
 
 
@@ -136,5 +146,7 @@ def observed(t):
         round(adj_score * {HI - LO}.0::DOUBLE / 40, 6) AS adj_share FROM scored"""),
 )
 def breakdown(t):
-    pairs, prefs, mods, context, attrs = inputs(t)
-    return _round(affinity.affinity_breakdown(pairs, prefs, mods, context, attrs, LO, HI), "share", "adj_share")
+    def scored(*frames):
+        return _round(affinity.affinity_breakdown(*frames, LO, HI), "share", "adj_share")
+
+    return in_rounds(t, scored)

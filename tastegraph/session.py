@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -101,6 +102,20 @@ def written(df: DataFrame) -> DataFrame:
     return table
 
 
+def one_by_one(frames: Iterable[DataFrame]) -> DataFrame:
+    """The rows of all frames (one at least). Each is written before the next is asked for, so the shuffle files of
+    only one of them exist at a time; a single frame is returned as it is.
+    """
+    frames = iter(frames)
+    found, following = next(frames), next(frames, None)
+    if following is None:
+        return found
+    found = written(found)
+    while following is not None:
+        found, following = found.unionByName(written(following)), next(frames, None)
+    return found
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove tables of ``written`` that nothing reads any more; other frames are left as they are."""
     for table in tables:

@@ -1,8 +1,10 @@
 import random
+from types import SimpleNamespace
 
 import pytest
 
 from tastegraph.operators import affinity
+from tastegraph.plans import affinity_queries
 
 PREFS = "user_id int, attr string, val string, score int"
 MODS = "user_id int, ctx_cat string, ctx_val string, mod_seq int, attr string, val string, delta int"
@@ -70,3 +72,41 @@ def test_rounding_is_half_to_even(spark):
     df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (5.5,), (3.49,)], "a double")
     got = [r["rounded_observed_rating"] for r in affinity.observed_rating(df, "a").collect()]
     assert got == [round(x) for x in (0.5, 1.5, 2.5, 5.5, 3.49)]
+
+
+def test_a_modifier_run_longer_than_a_block_is_chained_in_order(spark):
+    deltas = [random.Random(5).randint(-6, 6) for _ in range(40)]
+    seqs = [1 + 700 * n for n in range(len(deltas))]
+    prefs = spark.createDataFrame([(1, "a", "x", 4)], PREFS)
+    mods = spark.createDataFrame([(1, c, "v", s, "a", "x", d) for c in "de" for s, d in zip(seqs, deltas)], MODS)
+    context = spark.createDataFrame([(1, 1, "e", "v"), (1, 2, "d", "v")], CONTEXT)
+    got = affinity.apply_context_mods(prefs, mods, context, 1, 10).collect()
+    assert [r["adj_score"] for r in got] == [fold(4, deltas * 2, 1, 10)]
+
+
+@pytest.mark.parametrize("run", ["affinity_score", "context_affinity", "affinity_breakdown", "apply_context_mods"])
+def test_no_table_that_grows_is_broadcast(spark, run):
+    prefs = spark.createDataFrame([(1, "colour", "red", 9)], PREFS)
+    attrs = spark.createDataFrame([(7, "colour", "red")], "item_id int, attr string, val string")
+    pairs = spark.createDataFrame([(1, 7)], "user_id int, item_id int")
+    mods = spark.createDataFrame([(1, "t", "am", 1, "colour", "red", -2)], MODS)
+    context = spark.createDataFrame([(1, 1, "t", "am")], CONTEXT)
+    frames = {"affinity_score": (pairs, prefs, attrs), "apply_context_mods": (prefs, mods, context)}
+    got = getattr(affinity, run)(*frames.get(run, (pairs, prefs, mods, context, attrs)), 1, 10)
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rounds_of_users_give_the_same_rows(spark, rows, monkeypatch):
+    draw = random.Random(7)
+    lines = [(o, draw.randrange(12), float(draw.randint(1, 50)), draw.choice("NAR")) for o in range(60) for _ in range(3)]
+    orders = [(o, draw.choice([None, *range(9)]), draw.choice(["1-URGENT", "5-LOW"])) for o in range(60)]
+    parts = [(i, f"{draw.choice(['red', 'blue'])} {draw.choice(['bolt', 'nut'])}", f"B{i % 3}", f"T{i % 2}") for i in range(12)]
+    tables = SimpleNamespace(
+        lineitem=spark.createDataFrame(lines, "l_orderkey int, l_partkey int, l_quantity double, l_returnflag string"),
+        orders=spark.createDataFrame(orders, "o_orderkey int, o_custkey int, o_orderpriority string"),
+        part=spark.createDataFrame(parts, "p_partkey int, p_name string, p_brand string, p_type string"),
+    )
+    scored = lambda *frames: affinity.affinity_breakdown(*frames, 1, 10)
+    whole = rows(affinity_queries.in_rounds(tables, scored))
+    monkeypatch.setattr(affinity_queries, "ROUND_ROWS", 30)
+    assert rows(affinity_queries.in_rounds(tables, scored)) == whole and len(whole) > 4 * 30
