@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 from tastegraph.functions.ordering import dense_position, first_k
 from tastegraph.session import written
 
+# Items that one number holds as bits.
+WORD = 64
 
 def frequent_itemsets(baskets: DataFrame, min_support: float, max_len: int | None = None) -> DataFrame:
     """itemsets(items, freq, n_baskets, support) held by at least ``min_support`` of all baskets.
@@ -159,30 +163,39 @@ def applicable_rules(rules: DataFrame, baskets: DataFrame) -> DataFrame:
 def applicable_rules_of_rows(rules: DataFrame, rows: DataFrame, basket: str, item: str) -> DataFrame:
     """(basket, antecedents, consequents, n_new, other columns of ``rules``) from rows (basket, item).
 
-    For baskets too large for an array in one row, such as all that a user ever bought: nothing of a basket
-    is gathered. Only items that some rule names matter, so other rows go first and repeated ones are
-    folded where they lie. The items left meet the sides that need them, and a side is held when its
-    count is complete. Rows are dealt over lots, so neither an item nor a basket is hot.
-    Rows with a NULL item hold nothing; rows with a NULL basket are one basket.
+    For baskets too large for an array in one row, such as all that a user ever bought: only items that some
+    rule names matter, and those are at most the mean basket length / least support, so what a basket holds of
+    them is a few words of WORD bits, a rule's sides likewise. A basket then meets every rule where it lies,
+    and what comes out is neither shuffled nor kept: rules, not rows, are broadcast, and their number depends on the
+    support threshold. Neither an item nor a basket is hot.
+    Rows with a NULL item hold nothing; rows with a NULL basket are one basket. The items of a side are distinct.
     """
-    lots = _lots(rows.sparkSession)
-    rules = written(rules)
+    spark = rows.sparkSession
+    rules = written(rules.filter(F.size("antecedents") > 0))
+    columns = rules.columns
     sides = rules.select(F.explode(F.array("antecedents", "consequents")).alias("_side")).distinct()
     needs = sides.select("_side", F.explode("_side").alias("_item"))
-    held = rows.select(F.col(basket).alias("_basket"), F.col(item).alias("_item")).filter("_item IS NOT NULL").distinct()
-    dealt = held.withColumn("_lot", F.pmod(F.xxhash64("_basket", "_item"), F.lit(lots)).cast("int"))
-    counts = written(
-        dealt.join(_in_every_lot(needs), ["_lot", "_item"]).groupBy("_basket", "_side").agg(F.count("*").cast("int").alias("_n"))
-    )
-    full = counts.filter(F.col("_n") == F.size("_side")).select(
-        "_basket", F.col("_side").alias("antecedents"), F.pmod(F.xxhash64("_basket"), F.lit(lots)).cast("int").alias("_lot")
-    )
-    applied = full.join(_in_every_lot(rules), ["_lot", "antecedents"]).drop("_lot")
-    partly = counts.withColumnRenamed("_basket", "_b")
-    same = applied["_basket"].eqNullSafe(partly["_b"]) & (applied["consequents"] == partly["_side"])
-    new = F.size("consequents") - F.coalesce("_n", F.lit(0))
-    told = applied.join(partly, same, "left").withColumn("n_new", new).filter("n_new > 0")
-    return told.select(F.col("_basket").alias(basket), *rules.columns, "n_new")
+    numbered = written(dense_position(needs.select("_item").distinct(), ["_item"], "_no"))
+    words = range(max(1, -(-numbered.count() // WORD)))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_no") % WORD).cast("int"))
+
+    def packed(df: DataFrame, by: str, name: str) -> DataFrame:
+        held = df.join(F.broadcast(numbered), "_item")
+        inside = lambda w: F.bit_or(F.when(F.floor(F.col("_no") / WORD) == w, bit).otherwise(F.lit(0).cast("bigint")))
+        return held.groupBy(by).agg(*[inside(w).alias(f"{name}{w}") for w in words])
+
+    of_side = written(packed(needs, "_side", "_s"))
+    for side, name in (("antecedents", "_a"), ("consequents", "_c")):
+        rules = rules.join(of_side.withColumnsRenamed({"_side": side, **{f"_s{w}": f"{name}{w}" for w in words}}), side)
+    baskets = packed(rows.select(F.col(basket).alias("_basket"), F.col(item).alias("_item")), "_basket", "_u")
+    # few bytes that meet every rule: dealt out by number, not left to size-based coalescing
+    dealt = baskets.repartition(max(spark.sparkContext.defaultParallelism, _lots(spark)), "_basket")
+    missing = [F.col(f"_c{w}").bitwiseAND(F.bitwise_not(F.col(f"_u{w}"))) for w in words]
+    holds = reduce(lambda x, y: x & y, [F.col(f"_u{w}").bitwiseAND(F.col(f"_a{w}")) == F.col(f"_a{w}") for w in words])
+    adds = reduce(lambda x, y: x | y, [m != 0 for m in missing])
+    told = dealt.join(F.broadcast(rules), holds & adds)
+    n_new = reduce(lambda x, y: x + y, [F.bit_count(m) for m in missing])
+    return told.select(F.col("_basket").alias(basket), *columns, n_new.alias("n_new"))
 
 
 def rule_recommend(rules: DataFrame, baskets: DataFrame, basket: str, k: int = 3) -> DataFrame:

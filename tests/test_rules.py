@@ -150,3 +150,22 @@ def test_rules_of_rows_by_counting(mined, spark):
     expected = {(i, a, c): len(set(c) - set(b)) for i, b in whole for a, c in brute if set(a) <= set(b) and not set(c) <= set(b)}
     assert {(r["basket"], tuple(r["antecedents"]), tuple(r["consequents"])): r["n_new"] for r in got} == expected
     assert len(got) == len(expected)
+
+
+@pytest.mark.parametrize("word", [2, 64])
+def test_rules_of_rows_with_items_in_several_words(mined, spark, monkeypatch, word):
+    monkeypatch.setattr(rules, "WORD", word)
+    baskets, _, _, found = mined
+    brute = brute_rules(brute_itemsets(baskets, 0.05), len(baskets))
+    frame = spark.createDataFrame([(i, x) for i, b in enumerate(baskets) for x in b], "basket int, thing string")
+    got = rules.applicable_rules_of_rows(found, frame, "basket", "thing").collect()
+    expected = {(i, a, c): len(set(c) - set(b)) for i, b in enumerate(baskets) for a, c in brute if set(a) <= set(b) and not set(c) <= set(b)}
+    assert {(r["basket"], tuple(r["antecedents"]), tuple(r["consequents"])): r["n_new"] for r in got} == expected
+
+
+def test_rules_of_rows_are_not_shuffled(mined, spark):
+    baskets, _, _, found = mined
+    frame = spark.createDataFrame([(i, x) for i, b in enumerate(baskets) for x in b], "basket int, thing string")
+    applied = rules.applicable_rules_of_rows(found, frame, "basket", "thing").groupBy("basket").count()
+    plan = applied._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("NestedLoopJoin")]
