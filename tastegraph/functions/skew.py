@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.session import written
@@ -13,6 +13,12 @@ HOT_SHARE = 1000
 LOT_ROWS = 1000
 
 
+def shares(rows: DataFrame, key: str, size: int) -> list[Column]:
+    """Conditions that part rows by their ``key`` into shares of about ``size`` rows; every row, also one without key, meets one."""
+    n = max(1, -(-rows.count() // size))
+    return [F.pmod(F.xxhash64(key), F.lit(n)) == r for r in range(n)]
+
+
 def attach_stats(rows: DataFrame, stats: DataFrame, key: str, n: str) -> DataFrame:
     """Inner join of ``stats`` (one row per key, ``n`` = how often the key occurs in ``rows``).
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tastegraph.functions.skew import shares
 from tastegraph.operators import affinity, shaping
 from tastegraph.plans import bindings as b
 from tastegraph.plans.bindings import with_ctes
@@ -61,10 +62,9 @@ def in_rounds(t, scored):
     attrs = shaping.melt_attributes(items, "item_id", ATTRS)
     bought = written(b.purchases(t))
     wide = written(bought.join(items.hint("merge"), "item_id"))
-    rounds = max(1, -(-bought.count() // ROUND_ROWS))
-    turn = F.pmod(F.xxhash64("user_id"), F.lit(rounds))
-    found = one_by_one(scored(*inputs(bought.filter(turn == r), wide.filter(turn == r), attrs)) for r in range(rounds))
-    if rounds > 1:
+    rounds = shares(bought, "user_id", ROUND_ROWS)
+    found = one_by_one(scored(*inputs(bought.filter(mine), wide.filter(mine), attrs)) for mine in rounds)
+    if len(rounds) > 1:
         discard(bought, wide)
     return found
 

@@ -6,11 +6,12 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tastegraph.functions.columns import sigmoid
+from tastegraph.functions.skew import shares
 from tastegraph.operators import learners, retrieval, sampling, scoring, shaping
 from tastegraph.plans import bindings as b
 from tastegraph.plans.bindings import SEED, unit, with_ctes
 from tastegraph.plans.shaping_queries import examples
-from tastegraph.session import written
+from tastegraph.session import discard, one_by_one, written
 from tastegraph.sources.catalog import Tables
 
 QUERIES: dict = {}
@@ -28,12 +29,26 @@ def query(name, sql=None):
 
 
 def _vectors(t, ids, key, out, shift=0):
-    """A vector for every ID: the embeddings are handed out in turn."""
+    """A vector for every ID: the embeddings are handed out in turn. Their numbers stay as narrow as they are stored."""
     n = t.embeddings.agg(F.count("*")).scalar()
-    rows = t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias(out))
+    rows = t.embeddings.select("vec_id", F.col("embedding").alias(out))
     return ids.select(key).distinct().withColumn("vec_id", (F.col(key) + F.lit(shift)) % n).join(rows, "vec_id").drop("vec_id")
 
 
+# Pairs of the users that a round takes, on average.
+ROUND_ROWS = 10_000_000
+
+
+def _in_rounds(pairs, scored):
+    """``scored`` of the pairs, by rounds of users: a pair is shuffled with a vector, and what a round
+    shuffles is gone before the next, however many pairs there are."""
+    rounds = shares(pairs, "user_id", ROUND_ROWS)
+    found = one_by_one(scored(pairs.filter(mine)) for mine in rounds)
+    if len(rounds) > 1:
+        discard(pairs)
+    return found
+
+
 _FACTORS = {
     "n": "SELECT count(*) AS n FROM embeddings",
     "uf": "SELECT user_id, embedding::DOUBLE[] AS u FROM (SELECT DISTINCT user_id FROM pairs), n JOIN embeddings ON vec_id = user_id % n",
@@ -43,11 +58,11 @@ _MF = "round(1.0::DOUBLE + 9.0::DOUBLE / (1 + exp(-list_dot_product(u, v))), 6)"
 
 
 def _mf(t):
-    pairs = written(b.pairs(t))
-    rated = scoring.mf_score(
-        pairs, _vectors(t, pairs, "user_id", "u"), _vectors(t, pairs, "item_id", "v", 7)
-    )
-    return rated.withColumn("predicted_rating", F.round("predicted_rating", 6))
+    def scored(pairs):
+        rated = scoring.mf_score(pairs, _vectors(t, pairs, "user_id", "u"), _vectors(t, pairs, "item_id", "v", 7))
+        return rated.withColumn("predicted_rating", F.round("predicted_rating", 6))
+
+    return _in_rounds(written(b.pairs(t)), scored)
 
 
 @query(
@@ -123,17 +138,21 @@ def _centroids(t):
     ),
 )
 def towers(t):
-    bought = written(b.purchases(t))
     context = _centroids(t).groupBy("label").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("dim", "w"))), lambda e: e["w"] * 64).alias("c")
     )
-    ready = (
-        bought.join(_vectors(t, bought, "user_id", "u"), "user_id")
-        .join(_vectors(t, bought, "item_id", "v", 7), "item_id")
-        .withColumn("label", F.substring("priority", 1, 1).cast("int"))
-        .join(context, "label")
-    )
-    return ready.select("user_id", "item_id", "priority", F.round(scoring.two_tower_score("u", "v", "c"), 6).alias("pred_y"))
+    context = written(context)
+
+    def scored(bought):
+        ready = (
+            bought.withColumn("label", F.substring("priority", 1, 1).cast("int"))
+            .join(_vectors(t, bought, "user_id", "u"), "user_id")
+            .join(_vectors(t, bought, "item_id", "v", 7), "item_id")
+            .join(F.broadcast(context), "label")  # a row of weights per label
+        )
+        return ready.select("user_id", "item_id", "priority", F.round(scoring.two_tower_score("u", "v", "c"), 6).alias("pred_y"))
+
+    return _in_rounds(written(b.purchases(t).select("user_id", "item_id", "priority")), scored)
 
 
 def _layer(df, number, out, inp, w):
